@@ -10,8 +10,6 @@ from pitlake.operators.ordering import BUCKET_ROWS, cumulative, exact_quantiles
 from pitlake.operators.rules import long_form
 from pitlake.session import stage
 
-ROWS = F.count(F.lit(1))
-
 
 def data_quality(cases: DataFrame, approximate: bool = False) -> DataFrame:
     """One row describing a testbed case table."""
@@ -229,9 +227,12 @@ def log_histogram(df: DataFrame, value: str, bins: int = 50) -> DataFrame:
 
 
 def clipped_histogram(df: DataFrame, value: str, bins: int = 50, clip: float = 0.99) -> DataFrame:
-    top = exact_quantiles(df, value, {"top": clip}).first().top
-    low = df.agg(F.least(F.min(value), F.lit(top))).first()[0]
-    return histogram(df, F.least(F.col(value).cast("double"), F.lit(top)), bins, low, top)
+    present = df.filter(F.col(value).isNotNull())  # least() would turn a NULL into the top
+    top = exact_quantiles(present, value, {"top": clip}).first().top
+    if top is None:
+        raise ValueError(f"{value} holds no values")
+    low = present.agg(F.least(F.min(value), F.lit(top))).first()[0]
+    return histogram(present, F.least(F.col(value).cast("double"), F.lit(top)), bins, low, top)
 
 
 def by_group(
@@ -263,7 +264,7 @@ def monthly(df: DataFrame, value: str = "claim_value", label: str = "unfavorable
 def quarterly(df: DataFrame, date: str = "filing_date") -> DataFrame:
     """(quarter_end, n) for every quarter between the first and the last, empty ones as 0."""
     start = F.trunc(date, "quarter").alias("quarter")
-    counts = df.select(start).filter("quarter IS NOT NULL").groupBy("quarter").agg(ROWS.alias("n"))
+    counts = df.select(start).filter("quarter IS NOT NULL").groupBy("quarter").agg(F.count(F.lit(1)).alias("n"))
     calendar = counts.agg(F.min("quarter").alias("lo"), F.max("quarter").alias("hi")).select(
         F.explode(F.expr("sequence(lo, hi, interval 3 months)")).alias("quarter")
     )
@@ -276,19 +277,19 @@ def quarterly(df: DataFrame, date: str = "filing_date") -> DataFrame:
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """(column, cases, share of all rows). Missing values are not listed but count as rows."""
     total = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(ROWS.alias("cases"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("cases"))
     return counts.withColumn("share", F.round(F.col("cases") / total, 3))
 
 
 def top_values(df: DataFrame, column: str, k: int = 15) -> DataFrame:
     """The k most frequent values; equal counts in value order."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(ROWS.alias("cases"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("cases"))
     return counts.orderBy(F.desc("cases"), column).limit(k)
 
 
 def label_balance(df: DataFrame, label: str) -> DataFrame:
     """Rows per label value, the missing label included."""
-    return df.groupBy(label).agg(ROWS.alias("n"))
+    return df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
 def group_error_bars(df: DataFrame, by: str, value: Column) -> DataFrame:
@@ -310,7 +311,7 @@ def missing_by_group(df: DataFrame, target: str, by: str) -> DataFrame:
         df.filter(F.col(by).isNotNull())
         .groupBy(by)
         .agg(
-            ROWS.alias("n"),
+            F.count(F.lit(1)).alias("n"),
             F.round(F.avg(F.col(target).isNull().cast("double")) * 100, 2).alias("missing_pct"),
         )
     )
