@@ -6,10 +6,11 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlake.operators.ordering import BUCKET_ROWS, exact_quantiles, same_keys
+from pitlake.session import stage
 
 # Smallest peer group with its own statistics, MAD-to-sigma factor, scale floor.
 MIN_GROUP = 20
@@ -35,19 +36,43 @@ def peer_z(
     rows = df.filter(F.col(value).isNotNull()).withColumn(
         "log_claim", F.log1p(F.col(value).cast("double"))
     )
-    narrow = rows.select(*keys, "log_claim")
-    overall = exact_quantiles(narrow, "log_claim", {"m": 0.5}, bucket_rows=bucket_rows).first().m
+
+    # Peer groups and the whole table go through the same two ordering passes.
+    def own_and_whole(frame: DataFrame, own: Column, whole: Column) -> DataFrame:
+        return frame.select(
+            F.inline(
+                F.array(
+                    F.struct(F.lit(False).alias("_whole"), *keys, own.alias("x")),
+                    F.struct(
+                        F.lit(True).alias("_whole"),
+                        *[F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys],
+                        whole.alias("x"),
+                    ),
+                )
+            )
+        )
+
+    both = ["_whole", *keys]
+    x = F.col("log_claim")
+    middle = exact_quantiles(
+        own_and_whole(rows, x, x), "x", {"_median": 0.5}, both, {"_size": F.count(F.lit(1))},
+        bucket_rows=bucket_rows,
+    )
+    overall = middle.filter("_whole").first()
     if overall is None:
         raise ValueError(f"{value} holds no values")
-    spread = narrow.select(F.abs(F.col("log_claim") - F.lit(overall)).alias("d"))
-    overall_mad = exact_quantiles(spread, "d", {"m": 0.5}, bucket_rows=bucket_rows).first().m
-    medians = exact_quantiles(
-        narrow, "log_claim", {"_median": 0.5}, keys, {"_size": F.count(F.lit(1))}, bucket_rows=bucket_rows
-    )
-    deviations = narrow.join(medians, same_keys(narrow, medians, keys)).select(
-        *[narrow[k] for k in keys], F.abs(narrow["log_claim"] - medians["_median"]).alias("d")
+    overall = overall["_median"]
+    medians = middle.filter("NOT _whole").drop("_whole")
+    narrow = rows.select(*keys, "log_claim")
+    centred = narrow.join(medians, same_keys(narrow, medians, keys)).select(
+        *[narrow[k] for k in keys], "log_claim", "_median"
     )
-    mads = exact_quantiles(deviations, "d", {"_mad": 0.5}, keys, bucket_rows=bucket_rows)
+    spreads = exact_quantiles(
+        own_and_whole(centred, F.abs(x - F.col("_median")), F.abs(x - F.lit(overall))),
+        "x", {"_mad": 0.5}, both, bucket_rows=bucket_rows,
+    )
+    overall_mad = spreads.filter("_whole").first()["_mad"]
+    mads = spreads.filter("NOT _whole").drop("_whole")
     stats = medians.join(mads, same_keys(medians, mads, keys)).select(
         *[medians[k].alias(f"_{k}") for k in keys], "_median", "_size", "_mad"
     )
@@ -111,8 +136,10 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
     """Random splits down to single points; (feature, threshold, left, right, depth + c(n))."""
     nodes: list[tuple] = []
 
+    rest = _path_length(np.arange(len(points) + 1))
+
     def leaf(n: int, depth: int) -> int:
-        nodes.append((-1, 0.0, -1, -1, depth + float(_path_length(np.array([n]))[0])))
+        nodes.append((-1, 0.0, -1, -1, depth + float(rest[n])))
         return len(nodes) - 1
 
     def grow(part: np.ndarray, depth: int) -> int:
@@ -147,8 +174,6 @@ def flag_anomalies(
     Higher is stranger. Each tree is grown in its own task from at most ``sample`` rows, so the
     forest has a fixed size bound and can travel to every scoring task.
     """
-    from pitlake.session import stage
-
     points = stage(peer_z(df, bucket_rows=bucket_rows).select(key, "log_claim", "peer_z"), "points")
     max_depth = math.ceil(math.log2(max(sample, 2)))
 

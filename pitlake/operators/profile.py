@@ -115,13 +115,13 @@ def id_like_columns(df: DataFrame, threshold: float = 0.5) -> DataFrame:
     """
     row = df.agg(
         F.count(F.lit(1)).alias("rows"),
-        *[F.approx_count_distinct(f"`{n}`", 0.02).alias(f"u{i}") for i, n in enumerate(df.columns)],
+        *[F.approx_count_distinct(f"`{n}`").alias(f"u{i}") for i, n in enumerate(df.columns)],
     ).first()
     rows = max(row["rows"], 1)
     ratios = {n: row[f"u{i}"] / rows for i, n in enumerate(df.columns)}
-    # 0.15 is over seven standard errors of the sketch.
-    sure = [n for n, r in ratios.items() if r >= threshold * 1.15]
-    close = [n for n, r in ratios.items() if threshold * 0.85 <= r < threshold * 1.15]
+    # The band is seven standard errors of the sketch (5 %) on either side.
+    sure = [n for n, r in ratios.items() if r >= threshold * 1.35]
+    close = [n for n, r in ratios.items() if threshold * 0.65 <= r < threshold * 1.35]
     result = df.sparkSession.createDataFrame([(n,) for n in sure], "column_name string")
     if close:
         exact = column_profile(df.select(*[f"`{n}`" for n in close]))
