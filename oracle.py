@@ -358,7 +358,27 @@ REQUESTS = f"""{BASE}, q AS (SELECT case_id,
 e AS (SELECT case_id, concat_ws(',', {", ".join(f"CASE WHEN {sql} THEN '{name}' END" for name, sql in rules.REQUEST_CHECKS.items())}) AS errors FROM q)
 SELECT case_id, errors = '' AS valid, errors FROM e"""
 
+REFRESHED = f"""{BASE}, after AS (SELECT * REPLACE (
+  CASE WHEN case_id % 10 = 3 THEN decision_date + 15 ELSE decision_date END AS decision_date)
+  FROM cases WHERE case_id % 10 <> 2),
+{history("j", "after", "judge_id", 180, "unfavorable")}, {history("k", "after", "comarca", 180, "unfavorable")}
+SELECT c.case_id, judge_id, uf, comarca, vara, filing_date, decision_date, claim_value, unfavorable,
+  CAST(month(filing_date) AS INT) AS filing_month, j.n AS judge_n_prior,
+  j.v AS judge_avg_value_prior, j.r AS judge_unfav_rate_prior, k.n AS comarca_n_prior,
+  k.v AS comarca_avg_value_prior, k.r AS comarca_unfav_rate_prior
+FROM after c JOIN j ON j.case_id = c.case_id JOIN k ON k.case_id = c.case_id"""
+
+UPSERTED = f"""{BASE} SELECT case_id, uf, claim_value, 1 AS loaded_at, filing_date FROM cases
+WHERE case_id % 3 <> 0 AND case_id % 5 <> 0
+UNION ALL SELECT case_id, uf, claim_value, 2,
+  CASE WHEN case_id % 2 = 0 THEN filing_date - 40 ELSE filing_date END
+FROM cases WHERE case_id % 3 = 0 OR case_id % 5 = 0"""
+
 ORACLE = {
+    "incremental_features": REFRESHED,
+    "incremental_load": UPSERTED,
+    "stream_gate": f"""SELECT event_id, {keyed("CAST(user_id AS VARCHAR)", "USER")} AS user_pseudonym, event_type,
+  {scrubbed("props")} AS props FROM events""",
     "abt_comarca_180": one_grain("comarca", 180),
     "abt_customer_180": one_grain("judge_id", 180),
     "abt_full": ABT_FULL,

@@ -133,33 +133,44 @@ def _path_length(n: np.ndarray) -> np.ndarray:
 
 
 def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[tuple]:
-    """Random splits down to single points; (feature, threshold, left, right, depth + c(n))."""
-    nodes: list[tuple] = []
+    """Nodes (feature, threshold, left, right, length) of a tree of random splits.
 
+    A leaf points to itself, and its length is its depth plus what its points would still need.
+    """
     rest = _path_length(np.arange(len(points) + 1))
-
-    def leaf(n: int, depth: int) -> int:
-        nodes.append((-1, 0.0, -1, -1, depth + float(rest[n])))
-        return len(nodes) - 1
-
-    def grow(part: np.ndarray, depth: int) -> int:
+    nodes: list[tuple] = [()]
+    open_nodes = [(0, points, 0)]
+    while open_nodes:
+        at, part, depth = open_nodes.pop()
         low, high = part.min(axis=0), part.max(axis=0)
-        usable = np.flatnonzero(high > low)
-        if depth >= max_depth or len(part) <= 1 or not len(usable):
-            return leaf(len(part), depth)
-        feature = int(rng.choice(usable))
+        usable = [f for f in range(part.shape[1]) if high[f] > low[f]]
+        if depth >= max_depth or not usable:
+            nodes[at] = (0, np.inf, at, at, depth + float(rest[len(part)]))
+            continue
+        feature = usable[int(rng.integers(len(usable)))]
         threshold = float(rng.uniform(low[feature], high[feature]))
         below = part[:, feature] <= threshold
-        nodes.append((feature, threshold, 0, 0, 0.0))
-        at = len(nodes) - 1
-        left, right = grow(part[below], depth + 1), grow(part[~below], depth + 1)
-        nodes[at] = (feature, threshold, left, right, 0.0)
-        return at
-
-    grow(points, 0)
+        left = len(nodes)
+        nodes += [(), ()]
+        nodes[at] = (feature, threshold, left, left + 1, 0.0)
+        open_nodes += [(left, part[below], depth + 1), (left + 1, part[~below], depth + 1)]
     return nodes
 
 
+def _forest_length(x: np.ndarray, forest: tuple, max_depth: int) -> np.ndarray:
+    """Summed path length over all trees, walking every tree at once in blocks of rows."""
+    roots, feature, threshold, child, length = forest
+    total = np.empty(len(x))
+    for start in range(0, len(x), 512):
+        block = x[start : start + 512]
+        at = np.broadcast_to(roots, (len(block), len(roots)))
+        for _ in range(max_depth):
+            value = np.where(feature[at] == 0, block[:, :1], block[:, 1:])
+            at = child[2 * at + (value > threshold[at])]
+        total[start : start + 512] = length[at].sum(axis=1)
+    return total
+
+
 def flag_anomalies(
     df: DataFrame,
     contamination: float = 0.01,
@@ -185,34 +196,35 @@ def flag_anomalies(
         return out.assign(tree=tree, node=range(len(nodes)), size=len(pdf))
 
     layout = "tree int, node int, feature int, threshold double, left int, right int, length double, size int"
+    order = [c.split()[0] for c in layout.split(", ")]
+    tasks = min(trees, df.sparkSession.sparkContext.defaultParallelism)
     grown = (
         _tree_samples(points, key, trees, sample, seed)
+        .repartition(tasks, "tree")
         .groupBy("tree")
-        .applyInPandas(lambda pdf: build(pdf)[[c.split()[0] for c in layout.split(", ")]], layout)
+        .applyInPandas(lambda pdf: build(pdf)[order], layout)
         .toPandas()  # at most trees * (2 * sample - 1) rows
+        .sort_values(["tree", "node"], ignore_index=True)
+    )
+    roots = np.flatnonzero(grown["node"].to_numpy() == 0)
+    shift = np.repeat(roots, np.diff([*roots, len(grown)]))
+    child = (grown[["left", "right"]].to_numpy() + shift[:, None]).ravel()
+    forest = (
+        roots,
+        grown["feature"].to_numpy(dtype=np.int8),
+        grown["threshold"].to_numpy(),
+        child,
+        grown["length"].to_numpy(),
     )
-    forest = [
-        (t["feature"].to_numpy(), t["threshold"].to_numpy(), t["left"].to_numpy(), t["right"].to_numpy(), t["length"].to_numpy())
-        for _, t in grown.sort_values(["tree", "node"]).groupby("tree")
-    ]
     typical = float(_path_length(np.array([grown.groupby("tree")["size"].first().mean()]))[0]) or 1.0
+    trees_grown = len(roots)
     shared = df.sparkSession.sparkContext.broadcast(forest)
 
     def score(batches):
         for pdf in batches:
             x = pdf[["log_claim", "peer_z"]].to_numpy()
-            total = np.zeros(len(x))
-            for feature, threshold, left, right, length in shared.value:
-                at = np.zeros(len(x), dtype=np.int64)
-                for _ in range(max_depth):
-                    f = feature[at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    goes_left = x[np.arange(len(x)), np.maximum(f, 0)] <= threshold[at]
-                    at = np.where(inner, np.where(goes_left, left[at], right[at]), at)
-                total += length[at]
-            yield pdf[[key]].assign(anomaly_score=2.0 ** (-total / len(shared.value) / typical))
+            mean = _forest_length(x, shared.value, max_depth) / trees_grown
+            yield pdf[[key]].assign(anomaly_score=2.0 ** (-mean / typical))
 
     key_type = points.schema[key].dataType.simpleString()
     scored = stage(points.mapInPandas(score, f"{key} {key_type}, anomaly_score double"), "scores")

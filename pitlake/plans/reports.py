@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitlake import schema
 from pitlake.functions import ids, numeric, text
-from pitlake.operators import anomaly, encode, evaluate, history, privacy, profile, rules, split, tables
+from pitlake.operators import (
+    anomaly,
+    attribution,
+    encode,
+    evaluate,
+    history,
+    models,
+    privacy,
+    profile,
+    rules,
+    scoring,
+    split,
+    tables,
+)
 from pitlake.plans import casebook
+from pitlake.session import stage, work_folder
+from pitlake.streaming import gate, incremental
 
 # Key for pseudonyms over generated customer names. Real jobs take theirs as a parameter.
 DEMO_KEY = "demonstration-key-for-generated-tables"
@@ -332,7 +349,7 @@ def target_encode(spark, folder):
     rows = casebook.cases(spark, folder).select("case_id", "judge_id", "filing_date", "unfavorable")
     parts = split.temporal_split(rows)
     fold = F.pmod(F.col("case_id"), F.lit(5)).cast("int")
-    train = encode.cross_fit_target_encoding(parts.train, "judge_id", "unfavorable", fold)
+    train = encode.cross_fit_target_encoding(parts.train, ["judge_id"], "unfavorable", fold)
     codes, mean = encode.fit_target_encoding(parts.train, "judge_id", "unfavorable")
     test = encode.apply_target_encoding(parts.test, codes, "judge_id", mean)
     both = train.unionByName(test)
@@ -483,6 +500,140 @@ def bootstrap_ci(spark, folder):
     return spark.createDataFrame(results, "metric string, lower double, upper double")
 
 
+def _after_changes(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cases before and after a load: tenths of them added, removed, and decided 15 days later."""
+    base = _whole_cents(casebook.cases(spark, folder))
+    tenth = F.pmod(F.col("case_id"), F.lit(10))
+    before = base.filter(tenth != 1)
+    later = F.when(tenth == 3, F.date_add("decision_date", 15)).otherwise(F.col("decision_date"))
+    after = base.filter(tenth != 2).withColumn("decision_date", later)
+    return before, after, base.filter(tenth.isin(1, 2, 3)).select("case_id")
+
+
+def incremental_features(spark, folder):
+    """Features refreshed after a load; must equal a full rebuild."""
+    before, after, changed = _after_changes(spark, folder)
+    built = stage(history.feature_table(before, schema.TESTBED), "features-before")
+    table = incremental.refresh_features(built, before, after, changed, schema.TESTBED)
+    return _in_currency(table, "claim_value", "judge_avg_value_prior", "comarca_avg_value_prior")
+
+
+def incremental_load(spark, folder):
+    """Two loads upserted by key; the second changes some cases and moves some to other months."""
+    base = casebook.cases(spark, folder).select("case_id", "uf", "filing_date", "claim_value")
+    case_id = F.col("case_id")
+    first = base.filter(case_id % 3 != 0).withColumn("loaded_at", F.lit(1))
+    moved = F.when(case_id % 2 == 0, F.date_sub("filing_date", 40)).otherwise(F.col("filing_date"))
+    second = base.filter((case_id % 3 == 0) | (case_id % 5 == 0)).withColumns(
+        {"filing_date": moved, "loaded_at": F.lit(2)}
+    )
+    path = f"{work_folder(spark)}/upserts-{uuid.uuid4().hex[:12]}"
+    table = incremental.upsert(spark, path, first, "case_id", "loaded_at")
+    news = incremental.newer_than(
+        first.unionByName(second), "loaded_at", incremental.high_water_mark(table, "loaded_at")
+    )
+    return incremental.upsert(spark, path, news, "case_id", "loaded_at").drop(incremental.PART)
+
+
+def stream_gate(spark, folder):
+    """Events through a stream: pseudonymised, scrubbed, one row per event, written by micro-batch."""
+    layout = casebook.table(spark, folder, "events").schema
+    events = spark.readStream.schema(layout).parquet(f"{folder}/events*.parquet")
+    released = events.select(
+        "event_id",
+        F.col("ts").cast("timestamp").alias("ts"),
+        ids.pseudonym(F.col("user_id"), DEMO_KEY, "USER", digits=True).alias("user_pseudonym"),
+        "event_type",
+        text.scrub(F.col("props")).alias("props"),
+    )
+    base = f"{work_folder(spark)}/stream-{uuid.uuid4().hex[:12]}"
+    once = gate.once_per_key(released, "ts", "event_id", "1 day")
+    gate.run_available(gate.write_gated(once, f"{base}/out", f"{base}/checkpoint"))
+    return gate.read_batches(spark, f"{base}/out").drop("ts")
+
+
+def _small_pool(task: str) -> dict[str, models.Candidate]:
+    """The default candidates with fewer trees and one choice each."""
+    grids = {
+        "decision_tree": {"maxDepth": [5], "minInstancesPerNode": [30]},
+        "random_forest": {"maxDepth": [6], "minInstancesPerNode": [30]},
+        "hist_gbm": {"maxDepth": [3], "minInstancesPerNode": [50], "stepSize": [0.1]},
+    }
+    return {n: models.Candidate(c.build, grids[n]) for n, c in models.candidates(task, 20, 10).items()}
+
+
+def leaderboard(spark, folder):
+    """Cross-validated on the past, measured on the future, for both tasks."""
+    table = stage(history.feature_table(casebook.cases(spark, folder), schema.TESTBED), "features")
+    boards = []
+    for task in schema.TASKS:
+        data = models.task_data(table, schema.TESTBED, task)
+        board = models.compete(data, schema.TESTBED, task, 1, _small_pool(task)).leaderboard(spark)
+        score = "test_mae" if task == "regression" else "test_roc_auc"
+        boards.append(
+            board.select(F.lit(task).alias("task"), "model", "cv_score", "cv_score_std", F.col(score).alias("test_score"))
+        )
+    return boards[0].unionByName(boards[1])
+
+
+_fitted: dict[tuple, tuple] = {}
+
+
+def _forest(spark: SparkSession, folder: str, task: str) -> tuple[models.FittedModel, DataFrame]:
+    """A forest fitted on the past and the rows after it; fitted once per application and folder."""
+    memo = (spark.sparkContext.applicationId, str(folder), task)
+    if memo not in _fitted:
+        table = stage(history.feature_table(casebook.cases(spark, folder), schema.TESTBED), "features")
+        data = models.task_data(table, schema.TESTBED, task)
+        params = {"maxDepth": 6, "minInstancesPerNode": 30}
+        candidate = _small_pool(task)["random_forest"]
+        model = models.fit_model(data.train, schema.TESTBED, task, "random_forest", candidate, params)
+        _fitted[memo] = (model, data.test)
+    return _fitted[memo]
+
+
+def perm_importance(spark, folder):
+    found = []
+    for task in schema.TASKS:
+        model, test = _forest(spark, folder, task)
+        table = models.permutation_importance(model, test, schema.TESTBED, 1500)
+        found.append(table.select(F.lit(task).alias("task"), "feature", "importance"))
+    return found[0].unionByName(found[1])
+
+
+def tree_shap_additivity(spark, folder):
+    """Largest gap between model output and explained sum over every test row."""
+    rows = []
+    for task in schema.TASKS:
+        model, test = _forest(spark, folder, task)
+        found = attribution.explain(model, test, schema.TESTBED.targets()[task], max_cases=None)
+        rows.append((task, found.kind, found.space, found.rows.count(), found.error, found.error < 1e-6))
+    layout = "task string, explainer string, output_space string, cases bigint, max_error double, ok boolean"
+    return spark.createDataFrame(rows, layout)
+
+
+def shap_importance(spark, folder):
+    model, test = _forest(spark, folder, "regression")
+    return attribution.explain(model, test, "claim_value", max_cases=None).importance()
+
+
+def shap_cases(spark, folder):
+    """Every non-zero contribution of every test row."""
+    model, test = _forest(spark, folder, "classification")
+    found = attribution.explain(model, test, "unfavorable", max_cases=None)
+    return attribution.long_form(found.rows, found.names, "case_id", "unfavorable", "prediction", "base_value")
+
+
+def score_batch(spark, folder):
+    """Requests made from the test rows, validated and scored for both tasks."""
+    value_model, test = _forest(spark, folder, "regression")
+    chance_model, _ = _forest(spark, folder, "classification")
+    requests = test.withColumns({"uf": F.substring("uf", 1, 2), "judge_id": F.col("judge_id").cast("string")})
+    valid, _ = scoring.split_requests(requests)
+    scored = scoring.score(chance_model, scoring.score(value_model, valid).drop("model", "trained_at"))
+    return scored.select("case_id", "predicted_claim_value", "probability_unfavorable", "model")
+
+
 REPORTS = {
     f.__name__: f
     for f in (
@@ -497,6 +648,7 @@ REPORTS = {
         temporal_split_purged, ts_folds, fit_validation, onehot_minfreq, target_encode,
         impute_standardise, vocab_index, reg_metrics, baseline_predictions, cls_metrics, roc_auc,
         avg_precision, error_slices, wilcoxon_stat, peer_z, peer_z_small_groups, request_validation,
-        sample_k, isolation_flags, bootstrap_ci,
+        sample_k, isolation_flags, bootstrap_ci, incremental_features, incremental_load, stream_gate,
+        leaderboard, perm_importance, tree_shap_additivity, shap_importance, shap_cases, score_batch,
     )
 }

@@ -10,6 +10,14 @@ from pitlake.operators import privacy, rules, scoring
 from pitlake.operators.models import FittedModel
 
 
+def once_per_key(stream: DataFrame, event_time: str, key: str, delay: str) -> DataFrame:
+    """Drop repeated deliveries of a key while the watermark covers them.
+
+    State holds one key per row inside the watermark, so its size follows the delay allowed.
+    """
+    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+
+
 def gate_stream(
     raw: DataFrame,
     key: str,
@@ -17,13 +25,10 @@ def gate_stream(
     delay: str = "1 day",
     options: privacy.GateOptions = privacy.GateOptions(),
 ) -> DataFrame:
-    """Pseudonymised stream, repeated deliveries of a case dropped while the watermark covers them.
-
-    State holds one id per case inside the watermark, so its size follows the delay allowed.
-    """
+    """Pseudonymised stream with repeated deliveries of a case dropped."""
     rules.require_columns(raw, [*schema.RAW_REQUIRED, event_time], "raw stream")
     released = privacy.without_secret(raw).select(event_time, *privacy.gate_columns(key, options))
-    return released.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["case_id"])
+    return once_per_key(released, event_time, "case_id", delay)
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
