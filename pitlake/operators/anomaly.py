@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitlake.operators.ordering import BUCKET_ROWS, exact_quantiles, same_keys
-from pitlake.session import stage
+from pitlake.session import spread, stage
 
 # Smallest peer group with its own statistics, MAD-to-sigma factor, scale floor.
 MIN_GROUP = 20
@@ -227,7 +227,7 @@ def flag_anomalies(
             yield pdf[[key]].assign(anomaly_score=2.0 ** (-mean / typical))
 
     key_type = points.schema[key].dataType.simpleString()
-    scored = stage(points.mapInPandas(score, f"{key} {key_type}, anomaly_score double"), "scores")
+    scored = stage(spread(points).mapInPandas(score, f"{key} {key_type}, anomaly_score double"), "scores")
     threshold = exact_quantiles(
         scored, "anomaly_score", {"t": 1 - contamination}, bucket_rows=bucket_rows
     ).first().t

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pitlake.operators.models import FittedModel
 from pitlake.operators.ordering import cumulative
 from pitlake.operators.split import deterministic_sample
-from pitlake.session import stage, work_folder
+from pitlake.session import spread, stage, work_folder
 
 EXACT = "exact tree attribution"
 SAMPLED = "sampled-permutation attribution (approximate)"
@@ -154,6 +154,7 @@ def explain_rows(model: FittedModel, df: DataFrame, *keep: str) -> DataFrame:
     scored = model.with_output(model.encoder.transform(df)).select(
         *keep, "prediction", "raw_output", vector_to_array("features").alias("feature_values")
     )
+    scored = scored if df.isStreaming else stage(scored, "scored")
     shared = df.sparkSession.sparkContext.broadcast(tables)
 
     def contributions(batches):
@@ -166,7 +167,7 @@ def explain_rows(model: FittedModel, df: DataFrame, *keep: str) -> DataFrame:
             yield pdf
 
     layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields)
-    phi = scored.mapInPandas(contributions, f"{layout}, phi array<double>")
+    phi = spread(scored).mapInPandas(contributions, f"{layout}, phi array<double>")
     return phi.withColumn("base_value", F.lit(base))
 
 

@@ -26,6 +26,12 @@ def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return condition
 
 
+def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row frame to ``df`` as a scalar subquery, with no join."""
+    row = one_row.select(F.struct(*one_row.columns)).scalar()
+    return df.withColumn("_row", row).select("*", "_row.*").drop("_row")
+
+
 def cumulative(
     df: DataFrame,
     order: list[str],

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.functions import numeric
-from pitlake.operators.ordering import BUCKET_ROWS, cumulative, exact_quantiles
+from pitlake.operators.ordering import BUCKET_ROWS, beside, cumulative, exact_quantiles
 from pitlake.operators.rules import long_form
 from pitlake.session import stage
 
@@ -164,7 +164,7 @@ def target_summary(df: DataFrame, value: str, bucket_rows: int = BUCKET_ROWS) ->
         bucket_rows=bucket_rows,
     )
     names = ["mean", "median", "std", "skew", "p99", "max"]
-    both = moments.join(order)  # one row on each side
+    both = beside(moments, order)
     return both.select(
         F.inline(
             F.array(
@@ -191,7 +191,7 @@ def value_summary(df: DataFrame, value: str, bucket_rows: int = BUCKET_ROWS) ->
     )
     order = exact_quantiles(df, value, {"median": 0.5, "p95": 0.95}, bucket_rows=bucket_rows)
     names = ["count", "mean", "median", "p95", "max", "missing"]
-    row = totals.join(order).select(*[F.round(n, 2).alias(n) for n in names])
+    row = beside(totals, order).select(*[F.round(n, 2).alias(n) for n in names])
     return long_form(row, names, "statistic", "value")
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlake.session import path_exists, stage, tune
+from pitlake.session import path_exists, spread, stage, tune
 
 MISSING_VALUE_EVERY = 33
 SECRET_EVERY = 97
@@ -23,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of long texts: matching them is heavy, so few splits are spread first."""
+    return spread(table(spark, folder, name))
+
+
 def derive_cases(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select(
         "o_orderkey",

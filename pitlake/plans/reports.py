@@ -23,6 +23,7 @@ from pitlake.operators import (
     split,
     tables,
 )
+from pitlake.operators.ordering import beside
 from pitlake.plans import casebook
 from pitlake.session import stage, work_folder
 from pitlake.streaming import gate, incremental
@@ -148,17 +149,17 @@ def sig_round(spark, folder):
 
 
 def scrub_documents(spark, folder):
-    docs = casebook.table(spark, folder, "documents")
+    docs = casebook.text_table(spark, folder, "documents")
     return docs.select("doc_id", F.sha2(text.scrub(F.col("text")), 256).alias("scrubbed_sha256"))
 
 
 def scrub_pages(spark, folder):
-    pages = casebook.table(spark, folder, "pages")
+    pages = casebook.text_table(spark, folder, "pages")
     return pages.select("page_id", F.sha2(text.scrub(F.col("html")), 256).alias("scrubbed_sha256"))
 
 
 def scrub_conversations(spark, folder):
-    turns = casebook.table(spark, folder, "conversations")
+    turns = casebook.text_table(spark, folder, "conversations")
     cleaned = text.scrub(F.col("text"))
     redacted = F.when(text.has_sensitive_terms(F.col("text")), F.lit(text.REDACTED_TEXT)).otherwise(cleaned)
     return turns.select("conv_id", "turn", F.sha2(redacted, 256).alias("released_sha256"))
@@ -166,14 +167,14 @@ def scrub_conversations(spark, folder):
 
 def pii_scan_documents(spark, folder):
     scans = [
-        privacy.pii_scan(casebook.table(spark, folder, name)).withColumn("table_name", F.lit(name))
+        privacy.pii_scan(casebook.text_table(spark, folder, name)).withColumn("table_name", F.lit(name))
         for name in ("documents", "pages", "conversations")
     ]
     return scans[0].unionByName(scans[1]).unionByName(scans[2])
 
 
 def sensitive_documents(spark, folder):
-    docs = casebook.table(spark, folder, "documents")
+    docs = casebook.text_table(spark, folder, "documents")
     flagged = docs.withColumn("sensitive", text.has_sensitive_terms(F.col("text")))
     return flagged.groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("documents"), F.count_if("sensitive").alias("sensitive_documents")
@@ -269,11 +270,22 @@ def eta_squared(spark, folder):
     return profile.variance_explained(casebook.cases(spark, folder), "claim_value", groups)
 
 
-def spearman(spark, folder):
-    table = abt_comarca_180(spark, folder).join(
-        casebook.cases(spark, folder).select("case_id", "claim_value"), "case_id"
+def _grain_with_value(spark: SparkSession, folder: str) -> DataFrame:
+    """One history grain with the exact amount beside it."""
+    base = _whole_cents(casebook.cases(spark, folder))
+    table = history.attach_history(base, base, "comarca", "h", "rate", 180, "unfavorable")
+    return table.select(
+        "case_id",
+        F.month("filing_date").alias("filing_month"),
+        F.col("h_n_prior").alias("n_prior"),
+        (F.col("h_avg_value_prior") / 100).alias("avg_value_prior"),
+        F.col("h_rate").alias("label_rate_prior"),
+        (F.col("claim_value") / 100).alias("claim_value"),
     )
-    return profile.spearman(table, NUMERIC, "claim_value")
+
+
+def spearman(spark, folder):
+    return profile.spearman(_grain_with_value(spark, folder), NUMERIC, "claim_value")
 
 
 def missing_by_group(spark, folder):
@@ -357,9 +369,7 @@ def target_encode(spark, folder):
 
 
 def impute_standardise(spark, folder):
-    rows = abt_comarca_180(spark, folder).join(
-        casebook.cases(spark, folder).select("case_id", "claim_value"), "case_id"
-    )
+    rows = stage(_grain_with_value(spark, folder), "grain")
     scaler = encode.fit_scaler(rows.filter(F.col("claim_value").isNotNull()), NUMERIC, "claim_value")
     scaled = rows.select("case_id", *scaler.columns(), scaler.label("claim_value").alias("label_z"))
     return scaled.select("case_id", *[F.round(c, 5).alias(c) for c in scaled.columns if c != "case_id"])
@@ -409,7 +419,7 @@ def baseline_predictions(spark, folder):
     median = profile.exact_quantiles(
         valued, "claim_value", {"m": 0.5}, transform={"m": F.log1p}
     ).select(F.round(F.expm1("m"), 4).alias("median_prediction"))
-    return median.join(labelled.agg(F.round(F.avg("unfavorable"), 6).alias("prior_probability")))
+    return beside(median, labelled.agg(F.round(F.avg("unfavorable"), 6).alias("prior_probability")))
 
 
 def cls_metrics(spark, folder):

@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Key pads are 64-byte binary literals; keep them out of printed plans.
+    "spark.sql.redaction.string.regex": "(?i)X'[0-9A-F]{128}'",
 }
 
 
@@ -52,6 +54,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use the whole cluster for heavy per-row work on a table that was stored in a few splits.
+
+    Plans with a shuffle and tables with enough splits come back unchanged, so a large table is
+    never moved for this.
+    """
+    if df.isStreaming:
+        return df
+    plan = df._jdf.queryExecution().executedPlan()
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    if plan.nodeName() == "AdaptiveSparkPlan" or plan.execute().getNumPartitions() >= tasks:
+        return df
+    return df.repartition(tasks)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
