@@ -16,7 +16,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # Key pads are 64-byte binary literals; keep them out of printed plans.
-    "spark.sql.redaction.string.regex": "(?i)X'[0-9A-F]{128}'",
+    "spark.sql.redaction.string.regex": "(?i)(X'|0x)[0-9A-F]{128}'?",
 }
 
 

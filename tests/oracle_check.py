@@ -49,6 +49,8 @@ def connect(folder):
 def compare(spark, con, name, folder):
     """None if equal, otherwise what differs."""
     df = spark_entry.queries()[name](spark, folder)
+    if "CartesianProduct" in df._jdf.queryExecution().executedPlan().toString():
+        return "the plan builds all pairs"
     got = rows_of(df.columns, df.collect())
     result = con.execute(spark_entry.oracle_sql()[name])
     names = [d[0] for d in result.description]

@@ -52,17 +52,6 @@ def test_scrub_stays_in_the_jvm(spark):
     assert "Python" not in executed(docs.select(text.scrub(F.col("text")), text.has_sensitive_terms(F.col("text"))))
 
 
-@pytest.mark.parametrize(
-    "name",
-    sorted(
-        set(spark_entry.queries())
-        - {"leaderboard", "perm_importance", "tree_shap_additivity", "shap_importance", "shap_cases", "score_batch"}
-    ),
-)
-def test_no_query_builds_pairs(spark, name):
-    assert "CartesianProduct" not in executed(spark_entry.queries()[name](spark, FOLDER))
-
-
 def test_joins_without_a_key_are_absent(spark):
     for name in ("target_summary", "value_summary", "reg_metrics", "cls_metrics", "wilcoxon_stat", "baseline_predictions"):
         assert "NestedLoopJoin" not in executed(spark_entry.queries()[name](spark, FOLDER))
