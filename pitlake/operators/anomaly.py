@@ -6,10 +6,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitlake.operators.ordering import BUCKET_ROWS, exact_quantiles, same_keys
+from pitlake.operators.ordering import BUCKET_ROWS, cumulative, exact_quantiles, null_safe_join, quantiles_of
 from pitlake.session import spread, stage
 
 # Smallest peer group with its own statistics, MAD-to-sigma factor, scale floor.
@@ -37,55 +37,37 @@ def peer_z(
         "log_claim", F.log1p(F.col(value).cast("double"))
     )
 
-    # Peer groups and the whole table go through the same two ordering passes.
-    def own_and_whole(frame: DataFrame, own: Column, whole: Column) -> DataFrame:
-        return frame.select(
-            F.inline(
-                F.array(
-                    F.struct(F.lit(False).alias("_whole"), *keys, own.alias("x")),
-                    F.struct(
-                        F.lit(True).alias("_whole"),
-                        *[F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys],
-                        whole.alias("x"),
-                    ),
-                )
-            )
-        )
-
-    both = ["_whole", *keys]
-    x = F.col("log_claim")
-    middle = exact_quantiles(
-        own_and_whole(rows, x, x), "x", {"_median": 0.5}, both, {"_size": F.count(F.lit(1))},
-        bucket_rows=bucket_rows,
-    )
-    overall = middle.filter("_whole").first()
-    if overall is None:
-        raise ValueError(f"{value} holds no values")
-    overall = overall["_median"]
-    medians = middle.filter("NOT _whole").drop("_whole")
-    narrow = rows.select(*keys, "log_claim")
-    centred = narrow.join(medians, same_keys(narrow, medians, keys)).select(
-        *[narrow[k] for k in keys], "log_claim", "_median"
+    # Each value counts for its peer group and for the whole table. From here on only distinct
+    # values with counts are ordered and joined; rows are joined once, at the end.
+    whole = F.struct(
+        F.lit(True).alias("_whole"),
+        *[F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys],
+        F.col("log_claim").alias("x"),
     )
-    spreads = exact_quantiles(
-        own_and_whole(centred, F.abs(x - F.col("_median")), F.abs(x - F.lit(overall))),
-        "x", {"_mad": 0.5}, both, bucket_rows=bucket_rows,
-    )
-    overall_mad = spreads.filter("_whole").first()["_mad"]
-    mads = spreads.filter("NOT _whole").drop("_whole")
-    stats = medians.join(mads, same_keys(medians, mads, keys)).select(
-        *[medians[k].alias(f"_{k}") for k in keys], "_median", "_size", "_mad"
+    own = F.struct(F.lit(False).alias("_whole"), *keys, F.col("log_claim").alias("x"))
+    groups = ["_whole", *keys]
+    values = cumulative(
+        rows.select(F.inline(F.array(own, whole))), ["x"], {"n": F.count("x")}, groups, bucket_rows
     )
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & rows[k].eqNullSafe(stats[f"_{k}"])
-    own = F.col("_size") >= min_group
-    centre = F.when(own, F.col("_median")).otherwise(F.lit(overall))
-    scale = F.when(own, F.greatest(MAD_SCALE * F.col("_mad"), F.lit(SCALE_FLOOR))).otherwise(
+    medians = stage(quantiles_of(values, "x", {"_median": 0.5}, groups, "n", ["n"]), "medians")
+    gaps = null_safe_join(values, medians.drop("n"), groups).select(
+        *groups, F.abs(F.col("x") - F.col("_median")).alias("gap"), F.col("n").alias("_n")
+    )
+    spreads = cumulative(gaps, ["gap"], {"m": F.sum("_n")}, groups, bucket_rows)
+    mads = quantiles_of(spreads, "gap", {"_mad": 0.5}, groups, "m")
+    stats = stage(null_safe_join(medians, mads, groups).withColumnRenamed("n", "_size"), "peers")
+    table = stats.filter("_whole").first()
+    if table is None:
+        raise ValueError(f"{value} holds no values")
+    overall, overall_mad = table["_median"], table["_mad"]
+    stats = stats.filter("NOT _whole").drop("_whole")
+    enough = F.col("_size") >= min_group
+    centre = F.when(enough, F.col("_median")).otherwise(F.lit(overall))
+    scale = F.when(enough, F.greatest(MAD_SCALE * F.col("_mad"), F.lit(SCALE_FLOOR))).otherwise(
         F.lit(max(MAD_SCALE * overall_mad, SCALE_FLOOR))
     )
     return (
-        rows.join(stats, condition, "left")
+        null_safe_join(rows, stats, keys, "left")
         .withColumn("peer_z", (F.col("log_claim") - centre) / scale)
         .select(*rows.columns, "peer_z")
     )

@@ -18,12 +18,13 @@ from pitlake.session import stage
 BUCKET_ROWS = 2_000_000
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """NULL-safe equality on ``keys``."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL. Only the left side's keys remain."""
+    other = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(other, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def beside(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -82,13 +83,12 @@ def cumulative(
     running = ranged.select(
         "*", *[F.coalesce(F.sum(m).over(ahead), F.lit(0)).alias(f"_in_{m}") for m in names]
     )
-    joined = running.join(offsets, same_keys(running, offsets, [*keys, "_bucket"]))
-    return joined.select(
-        *[running[c] for c in [*keys, *order, *names]],
-        *[(running[f"_in_{m}"] + offsets[f"_off_{m}"]).alias(f"before_{m}") for m in names],
-        *[offsets[f"total_{m}"] for m in names],
-    ).select(
-        *keys, *order, *names, *[f"before_{m}" for m in names], *[f"total_{m}" for m in names]
+    return null_safe_join(running, offsets, [*keys, "_bucket"]).select(
+        *keys,
+        *order,
+        *names,
+        *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"before_{m}") for m in names],
+        *[f"total_{m}" for m in names],
     )
 
 
@@ -125,12 +125,23 @@ def exact_quantiles(
     output names to a monotone function applied to the order statistics before interpolation.
     """
     totals = totals or {}
+    table = cumulative(df, [value], {"_q": F.count(value), **totals}, keys, bucket_rows)
+    return quantiles_of(table, value, quantiles, keys, "_q", list(totals), transform)
+
+
+def quantiles_of(
+    table: DataFrame,
+    value: str,
+    quantiles: dict[str, float],
+    keys: list[str] | tuple[str, ...],
+    count: str,
+    totals: list[str] | tuple[str, ...] = (),
+    transform=None,
+) -> DataFrame:
+    """Quantiles per group from a ``cumulative`` table whose measure ``count`` counts values."""
     transform = transform or {}
-    measures = {"_q": F.count(value), **totals}
-    table = cumulative(df, [value], measures, keys, bucket_rows)
     picked = [
-        _at_quantile(transform.get(name, lambda c: c)(F.col(value)), p, "_q").alias(name)
+        _at_quantile(transform.get(name, lambda c: c)(F.col(value)), p, count).alias(name)
         for name, p in quantiles.items()
     ]
-    summed = [F.sum(name).alias(name) for name in totals]
-    return table.groupBy(*keys).agg(*picked, *summed)
+    return table.groupBy(*keys).agg(*picked, *[F.sum(name).alias(name) for name in totals])

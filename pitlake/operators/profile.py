@@ -47,6 +47,12 @@ def quality_checks(book: DataFrame) -> DataFrame:
     return long_form(row, list(checks), "check_name", "value")
 
 
+def _short(name: str) -> Column:
+    """A value as text, long texts as their SHA-256, so that counting them does not move them."""
+    value = F.col(f"`{name}`").cast("string")
+    return F.when(F.length(value) > 64, F.concat(F.lit("sha256:"), F.sha2(value, 256))).otherwise(value)
+
+
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """(column_name, dtype, missing_pct, n_unique, unique_ratio).
 
@@ -79,12 +85,7 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     else:
         pairs = df.select(
             F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(n).alias("column_name"), F.col(f"`{n}`").cast("string").alias("value"))
-                        for n in names
-                    ]
-                )
+                F.array(*[F.struct(F.lit(n).alias("column_name"), _short(n).alias("value")) for n in names])
             )
         )
         per_column = (

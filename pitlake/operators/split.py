@@ -22,13 +22,18 @@ def _day_positions(df: DataFrame, date: str) -> DataFrame:
     """Rows before each day. The window holds one row per calendar day, never the rows."""
     days = df.groupBy(date).agg(F.count(F.lit(1)).alias("n"))
     ahead = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, -1)
-    return days.select(date, "n", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    whole = Window.orderBy(date).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return days.select(
+        date,
+        "n",
+        F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"),
+        F.sum("n").over(whole).alias("total"),
+    )
 
 
 def cutoff_date(df: DataFrame, test_fraction: float = 0.2, date: str = "filing_date") -> dt.date:
     """The date at sorted position ``int(n * (1 - test_fraction))``."""
-    rows = df.count()
-    position = int(rows * (1 - test_fraction))
+    position = F.floor(F.col("total") * F.lit(1 - test_fraction))
     found = _day_positions(df, date).filter(
         (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
     )
