@@ -55,3 +55,19 @@ def drop_table(df: DataFrame) -> None:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> list[tuple[str, int]]:
+    """(whole text, 0 or 1) of at most ``per_class`` rows of each label outside the held-out fold.
+
+    The ids are chosen by hash, so that neither order nor partitioning matters; a small table of ids then
+    finds its texts in one pass over the documents. A document whose id has both labels counts for both.
+    """
+    out = []
+    known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter(~held_out()).filter("y in (0, 1)").distinct()
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    for y in (0, 1):
+        ids = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).select("doc_id")
+        rows = docs.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(per_class)
+        out += [(r.text, y) for r in rows.collect()]
+    return out

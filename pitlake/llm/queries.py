@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, secrets, token_counts, transducer, vocabulary
+from pitlake.llm import decontaminate, quality, secrets, token_counts, toxicity, transducer, vocabulary
 from pitlake.llm.common import read
 
 
@@ -12,6 +12,10 @@ def op1_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(read(spark, folder, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.WORD_BPE))
 
@@ -24,5 +28,19 @@ def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.BYTE_BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_bpe_round_trip, op5_decontamination, op8_token_counts)}
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_secret_scans,
+        op2_toxicity,
+        op3_bpe_round_trip,
+        op5_decontamination,
+        op8_token_counts,
+        op9_quality,
+    )
+}
 SQL: dict[str, str] = {}
