@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, quality, secrets, token_counts, toxicity, transducer, vocabulary
+from pitlake.llm import decontaminate, embeddings, quality, secrets, token_counts, toxicity, transducer, vocabulary
 from pitlake.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -41,6 +45,7 @@ QUERIES = {
         op5_decontamination,
         op8_token_counts,
         op9_quality,
+        op10_embedding_near_dedup,
     )
 }
 SQL: dict[str, str] = {}
