@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, embeddings, quality, secrets, token_counts, toxicity, transducer, vocabulary
+from pitlake.llm import decontaminate, embeddings, jaccard, quality, secrets, token_counts, toxicity, transducer, vocabulary
 from pitlake.llm.common import read
 
 
@@ -20,6 +20,10 @@ def op3_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return transducer.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.WORD_BPE))
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.joined(read(spark, folder, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
@@ -42,6 +46,7 @@ QUERIES = {
         op1_secret_scans,
         op2_toxicity,
         op3_bpe_round_trip,
+        op4_ngram_jaccard_join,
         op5_decontamination,
         op8_token_counts,
         op9_quality,
