@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, embeddings, jaccard, quality, secrets, token_counts, toxicity, transducer, vocabulary
+from pitlake.llm import decontaminate, embeddings, jaccard, quality, secrets, token_counts, tokenfile, toxicity, transducer, vocabulary
 from pitlake.llm.common import read
 
 
@@ -28,6 +28,10 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.report(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op6_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
+    return tokenfile.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.BYTE_BPE))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.BYTE_BPE))
 
@@ -48,6 +52,7 @@ QUERIES = {
         op3_bpe_round_trip,
         op4_ngram_jaccard_join,
         op5_decontamination,
+        op6_token_id_output,
         op8_token_counts,
         op9_quality,
         op10_embedding_near_dedup,
