@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import drop_table, whole
+from pitlake.llm.common import drop_table, free_name, whole
 from pitlake.llm.components import components
 from pitlake.session import stage
 
@@ -170,7 +170,7 @@ def _buckets(batches):
 
 def _bloom_bits(nodes: np.ndarray) -> np.ndarray:
     x = nodes.view(np.uint64)
-    return np.stack([mix(x + np.uint64(i) * PRIME) % np.uint64(BLOOM_BITS) for i in (1, 2)]).astype(np.int64)
+    return np.stack([mix(x + salt) % np.uint64(BLOOM_BITS) for salt in (PRIME, SHORT)]).astype(np.int64)
 
 
 def bloom(nodes: DataFrame) -> np.ndarray:
@@ -190,6 +190,11 @@ def bloom(nodes: DataFrame) -> np.ndarray:
     return array
 
 
+def holds(filled: np.ndarray, node: int) -> bool:
+    """False only for a node that the filter was not built from."""
+    return all(int(filled[b >> 6]) >> (b & 63) & 1 for b in _bloom_bits(np.array([node]))[:, 0].tolist())
+
+
 def _rebuilder(shared):
     """Every row's set size and node; the set itself, once a batch, if other nodes may need it."""
 
@@ -201,8 +206,7 @@ def _rebuilder(shared):
                 h = shingles(text)
                 node, kept = (node_of(h) if len(h) else None), None
                 if node is not None and node not in seen and len(h) > 3:
-                    bits = _bloom_bits(np.array([node]))[:, 0]
-                    if all(int(filled[b >> 6]) >> (b & 63) & 1 for b in bits.tolist()):
+                    if holds(filled, node):
                         seen.add(node)
                         kept = h.tobytes()
                 sizes.append(len(h))
@@ -248,6 +252,47 @@ def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def joined(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text)."""
+    rows, named = _classes(docs)
+    return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each component: one with its smallest doc_id. Rows with an empty set all stay.
+
+    Only rows that the Bloom filter of nodes in larger components lets through are joined; all others
+    pass in place, so the texts of documents that link with nothing are not shuffled.
+    """
+    rows, named = _classes(docs)
+    seen = rows.filter("node is not null").groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    groups = seen.join(named, "node")
+    holds_first = F.when(F.col("first").eqNullSafe(F.col("component_id")), F.col("node"))
+    sizes = groups.groupBy("component").agg(F.sum("n").alias("rows"), F.min(holds_first).alias("kept")).filter("rows > 1")
+    node, unsure, group, key = (free_name(docs, c) for c in ("node", "unsure", "group", "key"))
+    affected = groups.join(sizes, "component").select(
+        F.col("node").alias(node), F.struct("component", "component_id", "kept").alias(group)
+    )
+    affected = stage(affected, "affected")
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(affected.select(F.col(node).alias("node"))))
+
+    def place(texts: pd.Series) -> pd.DataFrame:
+        nodes = [node_of(h) if len(h := shingles(t)) else None for t in whole(texts)]
+        hits = [n is not None and holds(shared.value, n) for n in nodes]
+        return pd.DataFrame({"node": pd.array(nodes, dtype="Int64"), "hit": hits})
+
+    placed = docs.withColumn(unsure, F.pandas_udf(place, "node long, hit boolean")(F.col("text")))
+    alone = placed.filter(~F.col(f"{unsure}.hit")).select(docs.columns)
+    met = placed.filter(F.col(f"{unsure}.hit")).withColumn(node, F.col(f"{unsure}.node")).join(affected, node, "left")
+    first = (F.col(node) == F.col(f"{group}.kept")) & F.col("doc_id").eqNullSafe(F.col(f"{group}.component_id"))
+    one = met.filter(F.col(group).isNull() | first)
+    own = F.when(F.col(group).isNull(), F.monotonically_increasing_id())
+    one = one.withColumn(key, F.struct(F.col(f"{group}.component"), own.alias("own"))).dropDuplicates([key])
+    return alone.unionAll(one.select(docs.columns))
+
+
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every row's (doc_id, n_shingles, node), and every node's (node, component, component_id)."""
     spark = docs.sparkSession
     signed = docs.select("text").mapInPandas(_sign, "sig long, node long")
     hubs = [f"hub{k}" for k in range(HUBS)]
@@ -288,7 +333,4 @@ def joined(docs: DataFrame) -> DataFrame:
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first")).join(final, "node", "left")
     nodes = nodes.withColumn("component", F.coalesce("component", "node"))
     smallest = nodes.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = nodes.join(smallest, "component").select("node", "component_id")
-    return rows.select("doc_id", "n_shingles", "node").join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    return rows.select("doc_id", "n_shingles", "node"), nodes.join(smallest, "component").select("node", "component", "component_id")

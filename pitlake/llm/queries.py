@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, embeddings, jaccard, quality, secrets, token_counts, tokenfile, toxicity, transducer, vocabulary
+from pitlake.llm import decontaminate, embeddings, jaccard, language_model, quality, secrets, token_counts, tokenfile, toxicity, transducer, vocabulary
 from pitlake.llm.common import read
 
 
@@ -32,6 +32,10 @@ def op6_token_id_output(spark: SparkSession, folder: str) -> DataFrame:
     return tokenfile.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.BYTE_BPE))
 
 
+def op7_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.report(read(spark, folder, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.report(read(spark, folder, "documents"), vocabulary.public_path(vocabulary.BYTE_BPE))
 
@@ -53,6 +57,7 @@ QUERIES = {
         op4_ngram_jaccard_join,
         op5_decontamination,
         op6_token_id_output,
+        op7_lm_scoring,
         op8_token_counts,
         op9_quality,
         op10_embedding_near_dedup,
