@@ -12,7 +12,7 @@ WITH decided AS (
   FROM orders JOIN lineitem ON l_orderkey = o_orderkey
   WHERE CAST(l_shipdate AS DATE) >= CAST(o_orderdate AS DATE) GROUP BY o_orderkey),
 cases AS (
-  SELECT o.o_orderkey AS case_id, o_custkey AS judge_id, r_name AS uf, n_name AS comarca,
+  SELECT o.o_orderkey AS case_id, o_custkey AS judge_id, substr(r_name, 1, 2) AS uf, n_name AS comarca,
     c_mktsegment AS vara, CAST(o_orderdate AS DATE) AS filing_date, d.decision_date,
     o_totalprice AS amount,
     CASE WHEN o.o_orderkey % 33 <> 0 THEN o_totalprice END AS claim_value,
@@ -88,10 +88,16 @@ WHERE r = 1"""
 
 
 def keyed(message: str, prefix: str) -> str:
+    return f"'{prefix}_' || substr({mac(message)}, 1, 10)"
+
+
+def mac(message: str) -> str:
     inner, outer = (pad.hex() for pad in ids.key_pads(DEMO_KEY))
-    digest = f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({message}))))"
-    return f"'{prefix}_' || substr({digest}, 1, 10)"
+    return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({message}))))"
+
 
+#: Days of the keyed shift: -364 times one to five, by the first 32 bits of the MAC.
+SHIFT = f"""CAST(-364 * (1 + ('0x' || substr({mac("'date-shift'")}, 1, 8))::BIGINT % 5) AS INTEGER)"""
 
 PSEUDONYMS = f"""{BASE} SELECT case_id, {keyed("lower(trim(judge_name))", "JUDGE")} AS judge_pseudonym,
 {keyed("regexp_replace(judge_name, '[^0-9]', '', 'g')", "CASE")} AS number_pseudonym FROM cases"""
@@ -413,8 +419,9 @@ ORACLE = {
     "book_labels": f"""{BASE} SELECT case_id, reformed, CASE WHEN decision_outcome IN ('F', 'P') THEN 1 ELSE 0 END AS binary_label,
   filing_date, CAST(year(filing_date) AS INT) AS filing_year, round(ln(1 + claim_value), 6) AS claim_value_log,
   round(claim_value, 2) AS claim_value_back FROM book""",
-    "date_shift": f"""{BASE} SELECT case_id, filing_date + ({ids.date_shift_days(DEMO_KEY)}) AS filing_date,
-  decision_date + ({ids.date_shift_days(DEMO_KEY)}) AS decision_date FROM cases""",
+    "date_shift": f"""{BASE} SELECT case_id, filing_date + {SHIFT} AS filing_date,
+  decision_date + {SHIFT} AS decision_date FROM cases""",
+    "sample_k": f"{BASE} SELECT case_id, uf FROM cases ORDER BY sha256('42:' || case_id), case_id LIMIT 800",
     "sig_round": f"""{BASE} SELECT case_id, {sig(2)} AS two_digits, {sig(4)} AS four_digits,
   CASE WHEN claim_value > 0 THEN CAST(CAST(floor(2 * log10(claim_value)) AS BIGINT) AS VARCHAR) END AS claim_band FROM cases""",
     "scrub_documents": f"SELECT doc_id, sha256({scrubbed('text')}) AS scrubbed_sha256 FROM documents",

@@ -76,26 +76,26 @@ def peer_z(
 def _tree_samples(points: DataFrame, key: str, trees: int, size: int, seed: int) -> DataFrame:
     """(tree, x, z): up to ``size`` rows for each tree, chosen by hash.
 
-    On a small table every row stands for every tree. On a large one a row is drawn with the
-    probability that fills all trees and goes to one of them, so the cost is one hash per row.
+    One scheme for every size: a row is drawn for a hashed number of distinct trees whose mean is
+    trees x share, with the share of rows that a tree needs to fill its sample with room to spare. Only
+    drawn (row, tree) pairs are made; on a small table the share is 1 and the number is all trees.
     """
-    rows = points.count()
-    wanted = trees * size * _OVERSAMPLE
+    share = min(1.0, size * _OVERSAMPLE / max(points.count(), 1))
+    mean = trees * share
 
     def uniform(*cols):
         return F.shiftrightunsigned(F.xxhash64(*cols), 11) * F.lit(2.0**-53)
 
-    if rows > wanted:
-        drawn = points.filter(uniform(F.col(key), F.lit(seed)) < wanted / rows).withColumn(
-            "tree", F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(trees)).cast("int")
-        )
-        candidates = drawn.withColumn("u", uniform(F.col(key), F.lit(seed + 2)))
-    else:
-        share = min(1.0, size * _OVERSAMPLE / max(rows, 1))
-        copies = points.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        candidates = copies.withColumn("u", uniform(F.col(key), F.col("tree"), F.lit(seed))).filter(
-            F.col("u") < share
-        )
+    # Steps that share no factor with the number of trees lead through distinct trees.
+    steps = [k for k in range(1, trees + 1) if math.gcd(k, trees) == 1]
+    hashed = lambda salt, n: F.pmod(F.xxhash64(F.col(key), F.lit(seed + salt)), F.lit(n))
+    number = F.floor(F.lit(mean) + uniform(F.col(key), F.lit(seed + 1))).cast("int")
+    step = F.get(F.array(*map(F.lit, steps)), hashed(2, len(steps)).cast("int"))
+    drawn = points.withColumn("_n", F.least(number, F.lit(trees))).filter("_n > 0")
+    drawn = drawn.withColumns({"_first": hashed(3, trees), "_step": step})
+    turns = F.sequence(F.lit(0), F.col("_n") - 1)
+    tree = F.transform(turns, lambda i: F.pmod(F.col("_first") + i * F.col("_step"), F.lit(trees)).cast("int"))
+    candidates = drawn.withColumn("tree", F.explode(tree)).withColumn("u", uniform(F.col(key), F.col("tree"), F.lit(seed)))
     # About _OVERSAMPLE * size candidates per tree reach this window.
     smallest = Window.partitionBy("tree").orderBy("u", key)
     return (

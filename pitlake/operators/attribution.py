@@ -361,7 +361,7 @@ class Explanation:
 
 
 def explain(
-    model: FittedModel, test: DataFrame, target: str, max_cases: int | None = 800, key: str = "case_id"
+    model: FittedModel, test: DataFrame, target: str, max_cases: int | None = None, key: str = "case_id"
 ) -> Explanation:
     """Explain up to ``max_cases`` test rows (all of them with None) and check additivity."""
     if model.model is None:

@@ -93,9 +93,9 @@ def unknown_values(df: DataFrame, column: str, domain: tuple[str, ...]) -> DataF
     return df.filter(~known).select(column).distinct()
 
 
-def require_domain(df: DataFrame, column: str, domain: tuple[str, ...], show: int = 50) -> None:
-    """Raise if anything is unmapped. The message lists the first values only; all are refused."""
-    unknown = unknown_values(df, column, domain).orderBy(column).limit(show).collect()
+def require_domain(df: DataFrame, column: str, domain: tuple[str, ...]) -> None:
+    """Raise if anything is unmapped; the message lists every such value once."""
+    unknown = unknown_values(df, column, domain).orderBy(column).collect()
     if unknown:
         raise ValueError(f"unmapped {column} values: {[r[0] for r in unknown]}")
 

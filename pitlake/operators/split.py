@@ -84,10 +84,12 @@ def boundaries(
     for day, before in hits.items():
         inside = [p - before for p in positions if p >= before]
         found = found | (
-            (F.col(date) == F.lit(day)) & F.array_contains(F.array(*map(F.lit, inside)), F.col("before_n").cast("int"))
+            (F.col(date) == F.lit(day)) & F.array_contains(F.array(*[F.lit(i).cast("bigint") for i in inside]), F.col("before_n").cast("bigint"))
         )
     rows = order.filter(found).collect()
     at = {hits[r[date]] + r["before_n"]: (r[date], r[key]) for r in rows}
+    if missing := [p for p in positions if p not in at]:
+        raise ValueError(f"no single {key} stands at positions {missing}: it repeats on a boundary day")
     return [at[p] for p in positions]
 
 
@@ -127,4 +129,5 @@ def fit_validation_split(
 
 def deterministic_sample(df: DataFrame, k: int, key: str = "case_id", seed: int = 42) -> DataFrame:
     """Exactly min(n, k) rows, the same whatever the partitioning."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(k)
+    draw = F.sha2(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")), 256)
+    return df.orderBy(draw, key).limit(k)

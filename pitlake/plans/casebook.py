@@ -64,7 +64,7 @@ def derive_cases(spark: SparkSession, folder: str) -> DataFrame:
         decided.join(places, F.col("o_custkey") == F.col("c_custkey")).select(
             F.col("o_orderkey").alias("case_id"),
             F.col("o_custkey").alias("judge_id"),
-            F.col("r_name").alias("uf"),
+            F.substring("r_name", 1, 2).alias("uf"),
             F.col("n_name").alias("comarca"),
             F.col("c_mktsegment").alias("vara"),
             "filing_date",

@@ -557,8 +557,8 @@ def stream_gate(spark, folder):
         text.scrub(F.col("props")).alias("props"),
     )
     base = f"{work_folder(spark)}/stream-{uuid.uuid4().hex[:12]}"
-    once = gate.once_per_key(released, "ts", "event_id", "1 day")
-    gate.run_available(gate.write_gated(once, f"{base}/out", f"{base}/checkpoint"))
+    writer = gate.write_gated(released, f"{base}/out", f"{base}/checkpoint", "event_id", "ts")
+    gate.run_available(writer)
     return gate.read_batches(spark, f"{base}/out").drop("ts")
 
 
@@ -606,7 +606,7 @@ def perm_importance(spark, folder):
     found = []
     for task in schema.TASKS:
         model, test = _forest(spark, folder, task)
-        table = models.permutation_importance(model, test, schema.TESTBED, 1500)
+        table = models.permutation_importance(model, test, schema.TESTBED)
         found.append(table.select(F.lit(task).alias("task"), "feature", "importance"))
     return found[0].unionByName(found[1])
 
@@ -638,7 +638,7 @@ def score_batch(spark, folder):
     """Requests made from the test rows, validated and scored for both tasks."""
     value_model, test = _forest(spark, folder, "regression")
     chance_model, _ = _forest(spark, folder, "classification")
-    requests = test.withColumns({"uf": F.substring("uf", 1, 2), "judge_id": F.col("judge_id").cast("string")})
+    requests = test.withColumn("judge_id", F.col("judge_id").cast("string"))
     valid, _ = scoring.split_requests(requests)
     scored = scoring.score(chance_model, scoring.score(value_model, valid).drop("model", "trained_at"))
     return scored.select("case_id", "predicted_claim_value", "probability_unfavorable", "model")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,7 @@ def work_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not re.match(r"local(\[|$)", master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="pitlake-")
         spark.conf.set("spark.checkpoint.dir", base)
@@ -81,6 +82,8 @@ def swap_into_place(spark: SparkSession, staged: str, target: str) -> None:
     source, final, old = make(staged), make(target), make(f"{target}.previous")
     fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(final.getParent())
+    if fs.exists(old) and not fs.exists(final):
+        fs.rename(old, final)  # a run stopped between the two renames; the old table is the only copy
     if fs.exists(old):
         fs.delete(old, True)
     if fs.exists(final):

@@ -3,32 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from pitlake import schema
 from pitlake.operators import privacy, rules, scoring
 from pitlake.operators.models import FittedModel
+from pitlake.session import path_exists
 
-
-def once_per_key(stream: DataFrame, event_time: str, key: str, delay: str) -> DataFrame:
-    """Drop repeated deliveries of a key while the watermark covers them.
-
-    State holds one key per row inside the watermark, so its size follows the delay allowed.
-    """
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+EVENT_DAY = "event_day"
 
 
 def gate_stream(
     raw: DataFrame,
     key: str,
     event_time: str,
-    delay: str = "1 day",
     options: privacy.GateOptions = privacy.GateOptions(),
 ) -> DataFrame:
-    """Pseudonymised stream with repeated deliveries of a case dropped."""
+    """Pseudonymised stream; ``write_gated`` leaves out repeated deliveries of a case."""
     rules.require_columns(raw, [*schema.RAW_REQUIRED, event_time], "raw stream")
-    released = privacy.without_secret(raw).select(event_time, *privacy.gate_columns(key, options))
-    return once_per_key(released, event_time, "case_id", delay)
+    return privacy.without_secret(raw).select(event_time, *privacy.gate_columns(key, options))
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -36,14 +31,36 @@ def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
-def write_gated(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Each micro-batch passes the identifier scan before it is written; a hit stops the stream."""
+def _first_deliveries(batch: DataFrame, batch_id: int, path: str, key: str, event_time: str) -> DataFrame:
+    """One row per key that no earlier batch has written, however late it comes.
+
+    A repeated delivery has the event time of the first, so only the days that the batch touches are
+    looked up. A replayed batch does not see its own output.
+    """
+    spark = batch.sparkSession
+    one = batch.dropDuplicates([key]).withColumn(EVENT_DAY, F.to_date(event_time))
+    if not path_exists(spark, path):
+        return one
+    days = [r[0] for r in one.select(EVENT_DAY).distinct().collect()]  # calendar days of one micro-batch
+    written = spark.read.schema(T.StructType([*one.schema.fields, T.StructField("batch", T.LongType())])).option("basePath", path).parquet(path)
+    dated = F.col(EVENT_DAY).isin([d for d in days if d is not None]) | F.col(EVENT_DAY).isNull()
+    earlier = written.filter((F.col("batch") < batch_id) & dated)
+    return one.join(earlier.select(key), key, "left_anti").select(*one.columns)
+
+
+def write_gated(stream: DataFrame, path: str, checkpoint: str, key: str, event_time: str) -> DataStreamWriter:
+    """Each micro-batch passes the identifier scan before it is written; a hit stops the stream.
+
+    Every ``key`` is written once. Nothing is dropped for being late: the keys already written
+    are the state, so it lies in the output and not in the executors.
+    """
 
     def release(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             privacy.assert_no_pii(batch)
-            _write_batch(batch, path, batch_id)
+            first = _first_deliveries(batch, batch_id, path, key, event_time)
+            first.write.mode("overwrite").partitionBy(EVENT_DAY).parquet(f"{path}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -73,5 +90,5 @@ def run_available(writer: DataStreamWriter) -> None:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").drop("batch")
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*").drop("batch", EVENT_DAY)
 

@@ -13,11 +13,12 @@ from pitlake.schema import Track
 from pitlake.session import path_exists, stage
 
 PART = "filing_part"
+UNDATED = "undated"  # never NULL, so that a part can be compared and addressed
 
 
 def with_part(df: DataFrame) -> DataFrame:
-    """Filing month as the partition column."""
-    return df.withColumn(PART, F.date_format("filing_date", "yyyy-MM"))
+    """Filing month as the partition column; rows without a date have a part of their own."""
+    return df.withColumn(PART, F.coalesce(F.date_format("filing_date", "yyyy-MM"), F.lit(UNDATED)))
 
 
 def write_partitioned(df: DataFrame, path: str) -> None:

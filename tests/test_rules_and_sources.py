@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from conftest import book_rows
 from pyspark.sql import functions as F
 
 from pitlake import schema
@@ -52,11 +53,12 @@ def test_validate_book(spark, book):
 
 def test_book_quality_literals(spark, book):
     checks = {r["check_name"]: r["value"] for r in profile.quality_checks(book).collect()}
-    assert checks["rows"] == "24"
-    assert checks["binary_label_rows"] == "23"
+    assert checks["rows"] == "40"
+    assert checks["binary_label_rows"] == "36"
     assert checks["decision_before_filing"] == "0"
     balance = {r["reformed"]: r["n"] for r in profile.label_balance(book, "reformed").collect()}
-    assert balance == {1: 16, 0: 7, None: 1}
+    rows = book_rows()
+    assert balance == {label: sum(r[8] == label for r in rows) for label in (1, 0, None)} and balance[None] == 4
 
 
 CONSUMO = [
@@ -120,7 +122,7 @@ def test_prepared_table_is_reused_and_validated(spark, book, tmp_path):
 
     for force, reused in ((False, False), (False, True), (True, False)):
         table, was_reused = readers.prepared_or_build(spark, path, build, rules.validate_book, force)
-        assert was_reused is reused and table.count() == 24
+        assert was_reused is reused and table.count() == 40
     assert len(calls) == 2
     book.withColumn("claim_value", F.lit(-1.0)).write.mode("overwrite").parquet(path)
     with pytest.raises(rules.ConstraintError):
@@ -129,9 +131,9 @@ def test_prepared_table_is_reused_and_validated(spark, book, tmp_path):
 
 def test_provenance_counts(spark, book, tmp_path):
     record = readers.provenance(book, book, "reformed", "somewhere", None)
-    assert (record["rows_raw"], record["rows_prepared"], record["rows_modelling"]) == (24, 24, 23)
+    assert (record["rows_raw"], record["rows_prepared"], record["rows_modelling"]) == (40, 40, 36)
     writers.write_report(spark, record, str(tmp_path / "record"))
-    assert readers.read_record(spark, str(tmp_path / "absent"), str(tmp_path / "record"))["rows_raw"] == 24
+    assert readers.read_record(spark, str(tmp_path / "absent"), str(tmp_path / "record"))["rows_raw"] == 40
     assert path_exists(spark, str(tmp_path / "record"))
 
 

@@ -17,7 +17,7 @@ def test_stream_equals_batch_and_drops_repeats(spark, raw, key, tmp_path):
     timed = raw.withColumn("received", F.timestamp_seconds(F.lit(1_700_000_000)))
     stream = stream_of(spark, timed, str(tmp_path / "in"))
     out = str(tmp_path / "out")
-    gate.run_available(gate.write_gated(gate.gate_stream(stream, key, "received"), out, str(tmp_path / "cp")))
+    gate.run_available(gate.write_gated(gate.gate_stream(stream, key, "received"), out, str(tmp_path / "cp"), "case_id", "received"))
     got = gate.read_batches(spark, out).drop("received")
     want = privacy.anonymise(raw, key).distinct()
     assert got.count() == want.count()
@@ -28,7 +28,7 @@ def test_stream_stops_before_writing_an_identifier(spark, raw, key, tmp_path):
     leaky = raw.withColumn("uf", F.lit("x@y.com")).withColumn("received", F.timestamp_seconds(F.lit(1_700_000_000)))
     stream = stream_of(spark, leaky, str(tmp_path / "in"), 1)
     with pytest.raises(Exception, match="identifier patterns"):
-        gate.run_available(gate.write_gated(gate.gate_stream(stream, key, "received"), str(tmp_path / "out"), str(tmp_path / "cp")))
+        gate.run_available(gate.write_gated(gate.gate_stream(stream, key, "received"), str(tmp_path / "out"), str(tmp_path / "cp"), "case_id", "received"))
     assert not (tmp_path / "out").exists()
 
 
@@ -112,3 +112,26 @@ def test_only_overlapping_windows_are_affected(spark):
     changed = spark.createDataFrame([("a", None, d(2020, 1, 5))], layout)
     got = incremental.affected_days(changed, cases, "k", 30).collect()
     assert [(r["k"], r["filing_date"]) for r in got] == [("a", d(2020, 1, 10))]
+
+
+def test_late_rows_are_written_once(spark, tmp_path):
+    """Files in shuffled order of event time, several batches, some deliveries repeated days late."""
+    rows = [(i, (i * 37) % 90) for i in range(60)]
+    batches = [rows[i::4] + rows[: 5 * i] for i in range(4)]
+    for i, batch in enumerate(batches):
+        df = spark.createDataFrame(batch, "case_id long, day int").selectExpr("case_id", "timestamp_seconds(86400L * day) AS received")
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    gate.run_available(gate.write_gated(stream, out, str(tmp_path / "cp"), "case_id", "received"))
+    got = gate.read_batches(spark, out)
+    assert sorted(r.case_id for r in got.collect()) == list(range(60))
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 4
+
+
+def test_upsert_keeps_stored_rows_without_a_date(spark, tmp_path):
+    layout = "case_id int, filing_date date, loaded_at int"
+    path = str(tmp_path / "table")
+    incremental.upsert(spark, path, spark.createDataFrame([(1, None, 1), (2, None, 1), (3, dt.date(2020, 1, 5), 1)], layout), "case_id", "loaded_at")
+    got = incremental.upsert(spark, path, spark.createDataFrame([(2, None, 2), (3, None, 2)], layout), "case_id", "loaded_at")
+    assert sorted((r.case_id, r.loaded_at) for r in got.collect()) == [(1, 1), (2, 2), (3, 2)]
