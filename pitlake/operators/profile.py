@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlake.functions import numeric
 from pitlake.operators.ordering import BUCKET_ROWS, beside, cumulative, exact_quantiles
@@ -47,10 +48,14 @@ def quality_checks(book: DataFrame) -> DataFrame:
     return long_form(row, list(checks), "check_name", "value")
 
 
-def _short(name: str) -> Column:
-    """A value as text, long texts as their SHA-256, so that counting them does not move them."""
-    value = F.col(f"`{name}`").cast("string")
-    return F.when(F.length(value) > 64, F.concat(F.lit("sha256:"), F.sha2(value, 256))).otherwise(value)
+def _countable(df: DataFrame, name: str) -> Column:
+    """A value in one form for each type: texts as their SHA-256, so that counting does not move them,
+    floating-point numbers with one zero, all others as text."""
+    value = F.col(f"`{name}`")
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = value + F.lit(0.0)
+    return F.sha2(value, 256) if isinstance(kind, T.StringType) else value.cast("string")
 
 
 def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
@@ -85,7 +90,7 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     else:
         pairs = df.select(
             F.inline(
-                F.array(*[F.struct(F.lit(n).alias("column_name"), _short(n).alias("value")) for n in names])
+                F.array(*[F.struct(F.lit(n).alias("column_name"), _countable(df, n).alias("value")) for n in names])
             )
         )
         per_column = (

@@ -10,13 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitlake.session import path_exists, spread, stage, tune
+from pitlake.session import path_exists, spread, stage, table_state, tune
 
 MISSING_VALUE_EVERY = 33
 SECRET_EVERY = 97
 DUPLICATE_EVERY = 100
 
-_written: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+_SOURCES = ("orders", "lineitem", "customer", "nation", "region")
+_written: dict[tuple, tuple[str, DataFrame]] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -83,9 +84,15 @@ def derive_cases(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def source_state(spark: SparkSession, folder: str) -> tuple:
+    """Key of anything derived from the case tables: another state of their files is another key."""
+    files = table_state(spark, *(f"{folder}/{name}.parquet" for name in _SOURCES))
+    return (spark.sparkContext.applicationId, files)
+
+
 def _all_cases(spark: SparkSession, folder: str) -> DataFrame:
     tune(spark)
-    memo = (spark.sparkContext.applicationId, str(folder))
+    memo = source_state(spark, folder)
     if memo in _written:
         path, cases = _written[memo]
         if path_exists(spark, path):

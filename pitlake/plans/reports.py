@@ -591,7 +591,7 @@ _fitted: dict[tuple, tuple] = {}
 
 def _forest(spark: SparkSession, folder: str, task: str) -> tuple[models.FittedModel, DataFrame]:
     """A forest fitted on the past and the rows after it; fitted once per application and folder."""
-    memo = (spark.sparkContext.applicationId, str(folder), task)
+    memo = (casebook.source_state(spark, folder), task)
     if memo not in _fitted:
         table = stage(history.feature_table(casebook.cases(spark, folder), schema.TESTBED), "features")
         data = models.task_data(table, schema.TESTBED, task)

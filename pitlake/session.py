@@ -70,6 +70,18 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(tasks)
 
 
+def table_state(spark: SparkSession, *paths: str) -> tuple:
+    """(path, length, modification time) of every file below the paths: changes whenever a table does."""
+    found = []
+    for path in paths:
+        root = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(root, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
