@@ -60,15 +60,17 @@ def padded(text: str) -> np.ndarray:
     return np.frombuffer(data.ljust(-(-(len(data) + WIDTH) // BLOCK) * BLOCK, b"\0"), np.uint8)
 
 
-def block_peaks(net: Net, data: np.ndarray, places: bool = False):
+def block_peaks(net: Net, data: np.ndarray, ends: np.ndarray, places: bool = False):
     """Largest response of each filter in each block, and where it was if asked for.
 
-    ``data`` is followed by ``WIDTH`` bytes that the last positions may look at.
+    ``data`` is followed by ``WIDTH`` bytes that the last positions may look at. The position before each
+    of ``ends`` (of texts, in positions) sees only padding and the start of the next text, so it is left out.
     """
     n = (len(data) - WIDTH) // STRIDE
     response = np.zeros((n, FILTERS), np.float32)
     for j in range(WIDTH):
         response += net.table[j][data[j : j + n * STRIDE : STRIDE]]
+    response[ends - 1] = -np.inf
     response = response.reshape(-1, PLACES, FILTERS)
     if not places:
         return response.max(axis=1) + net.shift, None
@@ -93,7 +95,9 @@ def score(net: Net, text: str) -> float:
     data = np.append(padded(text), np.zeros(WIDTH, np.uint8))
     total, chunks, carried = np.zeros(HIDDEN, np.float64), 0, None
     for at in range(0, len(data) - WIDTH, RUN):
-        peaks, _ = block_peaks(net, data[at : at + RUN + WIDTH])
+        part = data[at : at + RUN + WIDTH]
+        final = [(len(part) - WIDTH) // STRIDE] if at + RUN >= len(data) - WIDTH else []
+        peaks, _ = block_peaks(net, part, np.array(final, np.int64))
         own = peaks if carried is None else np.concatenate([carried, peaks])
         carried = own[-1:]
         if len(own) > 1:
@@ -113,8 +117,10 @@ def scores(net: Net, texts: list[str]) -> list[float]:
     def flush() -> None:
         if not run:
             return
-        peaks, _ = block_peaks(net, np.concatenate([*[rows[i] for i in run], np.zeros(WIDTH, np.uint8)]))
-        first, second, chunks = chunk_layout(np.array([len(rows[i]) // BLOCK for i in run]))
+        sizes = np.array([len(rows[i]) for i in run])
+        data = np.concatenate([*[rows[i] for i in run], np.zeros(WIDTH, np.uint8)])
+        peaks, _ = block_peaks(net, data, np.cumsum(sizes) // STRIDE)
+        first, second, chunks = chunk_layout(sizes // BLOCK)
         read = _read(net, np.maximum(peaks[first], peaks[second])).astype(np.float64)
         mean = np.add.reduceat(read, np.cumsum(chunks) - chunks) / chunks[:, None]
         out[run] = 1 / (1 + np.exp(-(mean @ net.out + net.out_shift[0])))
@@ -136,8 +142,9 @@ def scores(net: Net, texts: list[str]) -> list[float]:
 
 def gradient(net: Net, docs: list[np.ndarray], labels: np.ndarray) -> list[np.ndarray]:
     data = np.concatenate([*docs, np.zeros(WIDTH, np.uint8)])
-    peaks, place = block_peaks(net, data, places=True)
-    first, second, chunks = chunk_layout(np.array([len(d) // BLOCK for d in docs]))
+    sizes = np.array([len(d) for d in docs])
+    peaks, place = block_peaks(net, data, np.cumsum(sizes) // STRIDE, places=True)
+    first, second, chunks = chunk_layout(sizes // BLOCK)
     later = peaks[second] > peaks[first]
     pooled = np.maximum(np.where(later, peaks[second], peaks[first]), 0)
     place = np.where(later, place[second], place[first])
