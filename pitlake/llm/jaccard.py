@@ -12,11 +12,14 @@ the first k + 1 of both. It is enough that one of the two has k + 1 suitable par
 also signs with partitions of one shingle or more, and if these are too few with its k + 1
 smallest shingles, of which every set has enough.
 
-**Join.** Equal sets are one node from the start. Rows of a signature meet sorted by a random order; the first few are hubs, and
-only (hub, member) pairs come out, so a bucket gives rows in proportion to its size. Pairs are checked
-exactly, in groups of bounded bytes that hold each set once. Buckets whose members are not
-all connected then give the pairs across their components, against all but the largest component, and those are checked too.
-After that every pair that shares a signature was checked or is connected: the components are exact.
+**Join.** Equal sets are one node from the start. Rows of a signature meet sorted; those that two nodes
+share are its bucket. The member that shares most signatures altogether is the bucket's hub (of near copies, mostly the
+text they derive from), and every member is checked exactly against it: rows in proportion to the bucket.
+A bucket whose members are not all connected then stays open. From a small one come the pairs across its components,
+but for those inside the largest. The members of large ones are gathered into families, dealt into parts of
+bounded bytes; a pair of parts meets in one task, which counts the overlaps of every member outside its bucket's largest
+component by an inverted index, so no list of pairs is ever made. After that every pair
+that shares a signature was checked or is connected: the components are exact, whatever the size at which buckets count as large.
 
 Sets are rebuilt from the texts where they are needed; a Bloom filter of fixed size tells which nodes those are, and when
 it fills up it only lets more sets through.
@@ -43,7 +46,7 @@ from pitlake.session import stage
 SHINGLE, NEAR = 5, 80  # words; percent
 BAND_RATIO = 1.5
 MORE = 1.2  # partitions of a band, over those that its largest sets need
-HUBS = 3
+SMALL = 24  # members of a bucket whose pairs are listed; others meet by parts
 GROUP_SHINGLES = 400_000  # sets checked together, 8 bytes a shingle
 BLOOM_BITS = 1 << 27  # 16 MB, at every size of the input
 
@@ -138,34 +141,26 @@ def _sign(batches):
 
 
 def _buckets(batches):
-    """Rows sorted by signature: members of every signature that two nodes share, with its hubs.
+    """Rows sorted by signature and node: the members of every signature that two nodes share.
 
-    Only a signature's first rows are carried from batch to batch, so its length does not matter.
+    Only one row is carried from batch to batch, so a bucket's length does not matter.
     """
-    sig0, head, given = None, np.empty(0, np.int64), False
+    last, given = None, False  # the last row so far, and whether it came out
     for batch in batches:
-        sig, node = batch["sig"].to_numpy(), batch["node"].to_numpy()
-        keep = np.ones(len(sig), bool)
-        keep[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        sig, node = sig[keep], node[keep]
-        fresh = np.ones(len(sig), bool)
-        if sig0 is not None:
-            # The head stands in front again, so that its group goes on; what was given stays out.
-            repeated = (sig == sig0) & np.isin(node, head)
-            sig, node = np.concatenate([np.full(len(head), sig0), sig[~repeated]]), np.concatenate([head, node[~repeated]])
-            fresh = np.arange(len(sig)) >= (len(head) if given else 0)
-        start = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        size = np.diff(np.append(start, len(sig)))
-        first, many = np.repeat(start, size), np.repeat(size, size) > 1
-        place = np.arange(len(sig)) - first
-        shown = np.flatnonzero(many & fresh)
-        out = {"sig": sig[shown], "node": node[shown]}
-        for k in range(HUBS):
-            hub = np.where(place[shown] > k, node[np.minimum(first[shown] + k, len(sig) - 1)], node[shown])
-            out[f"hub{k}"] = hub
-        if len(shown):
-            yield pd.DataFrame(out)
-        sig0, head, given = sig[-1], node[start[-1] : start[-1] + HUBS], size[-1] > 1
+        rows = batch[["sig", "node"]].to_numpy()
+        if last is not None:
+            rows = np.concatenate([last, rows])
+        fresh = np.ones(len(rows), bool)
+        fresh[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        given = np.concatenate([[given], np.zeros(len(rows) - 1, bool)])[fresh]
+        rows = rows[fresh]
+        same = rows[1:, 0] == rows[:-1, 0]
+        shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        # A bucket's later rows follow a row of it that came out, or came out just now.
+        out = rows[shared & ~given]
+        if len(out):
+            yield pd.DataFrame(out, columns=["sig", "node"])
+        last, given = rows[-1:], bool(shared[-1] or given[-1])
 
 
 def _bloom_bits(nodes: np.ndarray) -> np.ndarray:
@@ -246,6 +241,62 @@ def verified(pairs: DataFrame, sets: DataFrame, homes: DataFrame) -> DataFrame:
     return groups.applyInPandas(_check, "a long, b long")
 
 
+def _overlaps(rows: pd.DataFrame) -> pd.DataFrame:
+    """Two parts of a family: links of the asking nodes to nodes of other classes, one for each connection.
+
+    Shingles of the part lie sorted with their owners; a node's overlaps with all of them are counted at once.
+    """
+    part, asking = rows[~rows["asks"]], rows[rows["asks"]]
+    sets = [np.frombuffer(x, np.uint64) for x in part["set"]]
+    if not sets or not len(asking):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    sizes = np.array([len(x) for x in sets])
+    values, owners = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owners = values[order], owners[order]
+    names, at = np.unique(rows["class"], return_inverse=True)
+    root = np.arange(len(names))
+    own, nodes = at[~rows["asks"].to_numpy()], part["node"].to_numpy()
+    out = []
+    for node, set_, mine in zip(asking["node"], asking["set"], at[rows["asks"].to_numpy()], strict=True):
+        x = np.frombuffer(set_, np.uint64)
+        low = np.searchsorted(values, x)
+        many = np.searchsorted(values, x, side="right") - low
+        place = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        both = np.bincount(owners[place], minlength=len(sets))
+        linked = np.flatnonzero((100 * both >= NEAR * (len(x) + sizes - both)) & (root[own] != root[mine]))
+        for k in linked:
+            if root[own[k]] != root[mine]:
+                out.append((node, nodes[k]))
+                root[root == root[own[k]]] = root[mine]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
+def dealt(families: DataFrame, sizes: DataFrame, together: bool) -> DataFrame:
+    """(node, home, part): families in parts of about ``GROUP_SHINGLES``; small ones share a home if wanted."""
+    sized = families.join(sizes, "node")
+    totals = sized.groupBy("component").agg(F.sum("n").alias("total"))
+    totals = totals.withColumn("parts", F.ceil(F.col("total") / GROUP_SHINGLES))
+    home = F.concat(F.lit("f"), F.col("component"))
+    if together:
+        groups = 1 + (totals.agg(F.sum("total")).first()[0] or 0) // GROUP_SHINGLES
+        home = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(groups)).cast("string")).otherwise(home)
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    return stage(sized.join(totals, "component").select("node", home.alias("home"), part.alias("part"), "parts"), "homes")
+
+
+def across(members: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Links between classes inside the families of large open buckets (node, class, main)."""
+    families = components(members.select("node", F.col("main_node").alias("hub")), "node", "hub")
+    homes = dealt(families, sizes, together=False)
+    about = members.groupBy("node", "class").agg(F.max(F.col("class") != F.col("main")).alias("out"))
+    rows = homes.join(about, "node").join(sets, "node").withColumn("every", F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    wide = ["home", "node", "class", "set"]
+    whole = rows.select(*wide, F.explode("every").alias("p"), F.col("part").alias("q"), F.lit(False).alias("asks"))
+    asking = rows.filter("out").select(*wide, F.col("part").alias("p"), F.explode("every").alias("q"), F.lit(True).alias("asks"))
+    return whole.unionByName(asking).groupBy("home", "p", "q").applyInPandas(_overlaps, "a long, b long")
+
+
 def _ordered(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).filter("a < b")
 
@@ -295,39 +346,35 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row's (doc_id, n_shingles, node), and every node's (node, component, component_id)."""
     spark = docs.sparkSession
     signed = docs.select("text").mapInPandas(_sign, "sig long, node long")
-    hubs = [f"hub{k}" for k in range(HUBS)]
-    sorted_rows = signed.repartition("sig").sortWithinPartitions("sig", F.xxhash64("node", "sig"), "node")
-    buckets = stage(sorted_rows.mapInPandas(_buckets, "sig long, node long, " + ", ".join(f"{h} long" for h in hubs)), "buckets")
+    sorted_rows = signed.repartition("sig").sortWithinPartitions("sig", "node")
+    buckets = stage(sorted_rows.mapInPandas(_buckets, "sig long, node long"), "buckets")
 
     shared = spark.sparkContext.broadcast(bloom(buckets.select("node")))
     rows = stage(docs.select("doc_id", "text").mapInPandas(_rebuilder(shared), "doc_id long, n_shingles long, node long, set binary"), "sets")
     sets = rows.filter("set is not null").dropDuplicates(["node"]).select("node", "set")
+    sizes = rows.filter("set is not null").groupBy("node").agg(F.max("n_shingles").alias("n"))
 
-    spokes = buckets.select("node", F.explode(F.array(*hubs)).alias("hub"))
-    pairs = stage(_ordered(spokes, "node", "hub").distinct(), "pairs")
-    families = components(pairs)
-    sized = families.join(rows.filter("set is not null").groupBy("node").agg(F.max("n_shingles").alias("n")), "node")
-    # Families that fit one group share it with others; a larger one is dealt into parts of about that size.
-    totals = sized.groupBy("component").agg(F.sum("n").alias("total"))
-    totals = totals.withColumn("parts", F.ceil(F.col("total") / GROUP_SHINGLES))
-    groups = 1 + (totals.agg(F.sum("total")).first()[0] or 0) // GROUP_SHINGLES
-    home = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(groups)).cast("string")).otherwise(F.concat(F.lit("f"), F.col("component")))
-    homes = stage(sized.join(totals, "component").select("node", home.alias("home"), F.pmod(F.xxhash64("node"), F.col("parts")).alias("part")), "homes")
-
+    degrees = buckets.groupBy("node").agg(F.count("*").alias("degree"))
+    hubs = buckets.join(degrees, "node").groupBy("sig").agg(F.max(F.struct("degree", "node")).alias("m"))
+    hubs = stage(hubs.select("sig", F.col("m.node").alias("hub")), "hubs")
+    pairs = stage(_ordered(buckets.join(hubs, "sig"), "node", "hub").distinct(), "pairs")
+    homes = dealt(components(pairs), sizes, together=True)
     links = stage(verified(pairs, sets, homes), "links")
+
     classes = components(links)
-    members = buckets.select("sig", "node").join(classes, "node", "left").withColumn("class", F.coalesce("component", "node")).drop("component")
-    open_ = members.groupBy("sig").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high").select("sig")
+    members = buckets.join(classes, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("class"))
+    counts = members.groupBy("sig", "class").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    open_ = counts.groupBy("sig").agg(F.sum("n").alias("size"), F.max(F.struct("n", "class", "node")).alias("m")).filter("m.n < size")
+    open_ = open_.select("sig", "size", F.col("m.class").alias("main"), F.col("m.node").alias("main_node"))
     members = stage(members.join(open_, "sig"), "open")
-    sizes = members.groupBy("sig", "class").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("sig").agg(F.max(F.struct("n", "class")).alias("m")).select("sig", F.col("m.class").alias("main"))
-    outside = members.join(main, "sig").filter("class != main").select("sig", F.col("node").alias("x"), F.col("class").alias("class_x"))
-    cross = outside.join(members, "sig").filter("class != class_x")
-    rest = _ordered(cross, "x", "node").distinct().join(pairs, ["a", "b"], "left_anti")
-    late = stage(verified(stage(rest, "rest"), sets, homes), "links")
-    all_links = links.unionAll(late)
-    final = stage(components(all_links), "classes")
-    for table in (buckets, members, homes):
+    few = members.filter(F.col("size") <= SMALL)
+    outside = few.filter("class != main").select("sig", F.col("node").alias("x"), F.col("class").alias("class_x"))
+    cross = outside.join(few.select("sig", "node", "class"), "sig").filter("class != class_x")
+    rest = stage(_ordered(cross, "x", "node").distinct().join(pairs, ["a", "b"], "left_anti"), "rest")
+    late = verified(rest, sets, dealt(components(rest), sizes, together=True))
+    late = stage(late.unionAll(across(members.filter(F.col("size") > SMALL), sets, sizes)), "links")
+    final = stage(components(links.unionAll(late)), "classes")
+    for table in (buckets, hubs, members, homes, pairs, rest):
         drop_table(table)
 
     nodes = rows.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first")).join(final, "node", "left")
