@@ -91,6 +91,11 @@ def keyed(message: str, prefix: str) -> str:
     return f"'{prefix}_' || substr({mac(message)}, 1, 10)"
 
 
+BOOK_COLUMNS = (
+    "case_id", "assunto", "comarca", "tipo_litigio", "filing_date", "decision_date", "claim_value", "decision_outcome", "case_days",
+)
+
+
 def mac(message: str) -> str:
     inner, outer = (pad.hex() for pad in ids.key_pads(DEMO_KEY))
     return f"sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || encode({message}))))"
@@ -419,6 +424,22 @@ ORACLE = {
     "book_labels": f"""{BASE} SELECT case_id, reformed, CASE WHEN decision_outcome IN ('F', 'P') THEN 1 ELSE 0 END AS binary_label,
   filing_date, CAST(year(filing_date) AS INT) AS filing_year, round(ln(1 + claim_value), 6) AS claim_value_log,
   round(claim_value, 2) AS claim_value_back FROM book""",
+    "book_rules": f"""{BASE} SELECT rule, CAST(violations AS BIGINT) AS violations FROM (
+  SELECT unnest([{", ".join(f"'{c}_not_null'" for c in BOOK_COLUMNS)}, 'unanimity_not_null', 'tipo_litigio_domain', 'claim_value_positive', 'reformed_binary', 'case_days_not_negative', 'decision_not_before_filing']) AS rule,
+    unnest([{", ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in BOOK_COLUMNS)}, 0, count(*) FILTER (WHERE tipo_litigio NOT IN ('PF-PF', 'PF-nPF', 'nPF-PF', 'nPF-nPF')), count(*) FILTER (WHERE NOT claim_value > 0),
+      count(*) FILTER (WHERE reformed NOT IN (0, 1)), count(*) FILTER (WHERE case_days < 0),
+      count(*) FILTER (WHERE decision_date < filing_date)]) AS violations FROM book)
+UNION ALL SELECT 'case_id_unique', count(*) FROM (SELECT case_id FROM book GROUP BY 1 HAVING count(*) > 1)""",
+    "domain_values": BASE + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, (SELECT string_agg(v, ',' ORDER BY v) FROM (SELECT DISTINCT {c} AS v FROM cases)) AS known_values"
+        for c in ("uf", "vara", "sentence_outcome")
+    ),
+    "spearman_ranking": f"SELECT feature, row_number() OVER (ORDER BY abs(spearman) DESC, feature) AS place FROM ({SPEARMAN})",
+    "prediction_picks": f"""{SCORED}, o AS (SELECT case_id, prediction, row_number() OVER (ORDER BY prediction, case_id) - 1 AS p,
+    count(*) OVER () AS n FROM s WHERE claim_value IS NOT NULL)
+SELECT pick, case_id, prediction FROM o, (SELECT unnest(['lowest', 'median', 'highest']) AS pick)
+WHERE (pick = 'lowest' AND p = 0) OR (pick = 'median' AND p = n // 2) OR (pick = 'highest' AND p = n - 1)""",
+    "case_order": f"{BASE} SELECT case_id, row_number() OVER (ORDER BY filing_date, case_id) - 1 AS position FROM cases",
     "date_shift": f"""{BASE} SELECT case_id, filing_date + {SHIFT} AS filing_date,
   decision_date + {SHIFT} AS decision_date FROM cases""",
     "sample_k": f"{BASE} SELECT case_id, uf FROM cases ORDER BY sha256('42:' || case_id), case_id LIMIT 800",

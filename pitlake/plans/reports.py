@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitlake import schema
@@ -23,7 +23,7 @@ from pitlake.operators import (
     split,
     tables,
 )
-from pitlake.operators.ordering import beside
+from pitlake.operators.ordering import beside, cumulative
 from pitlake.plans import casebook
 from pitlake.session import stage, work_folder
 from pitlake.streaming import gate, incremental
@@ -87,6 +87,19 @@ def constraint_report(spark, folder):
     return rules.constraint_report(casebook.cases(spark, folder), rules.CASE_RULES, "case_id")
 
 
+def book_rules(spark, folder):
+    """The row rules of the second track; its litigation types here are market segments, so that rule always fails."""
+    table = casebook.book_cases(spark, folder).withColumn("unanimity", F.lit("unknown"))
+    return rules.constraint_report(table, rules.BOOK_RULES, "case_id")
+
+
+def domain_values(spark, folder):
+    """The sorted distinct values of each category column, in one text."""
+    columns = ("uf", "vara", "sentence_outcome")
+    row = casebook.cases(spark, folder).agg(*[F.array_join(F.sort_array(F.collect_set(c)), ",").alias(c) for c in columns])
+    return rules.long_form(row, list(columns), "column_name", "known_values")
+
+
 def unknown_domain(spark, folder):
     return rules.unknown_values(casebook.cases(spark, folder), "sentence_outcome", ("F", "O"))
 
@@ -288,6 +301,13 @@ def spearman(spark, folder):
     return profile.spearman(_grain_with_value(spark, folder), NUMERIC, "claim_value")
 
 
+def spearman_ranking(spark, folder):
+    """Features by the size of their correlation, ties by name; a row for each feature."""
+    table = profile.spearman(_grain_with_value(spark, folder), NUMERIC, "claim_value")
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc(F.abs("spearman")), "feature")
+    return table.select("feature", F.row_number().over(order).alias("place"))
+
+
 def missing_by_group(spark, folder):
     return profile.missing_by_group(casebook.cases(spark, folder), "claim_value", "comarca")
 
@@ -442,6 +462,17 @@ def error_slices(spark, folder):
     return _rounded(evaluate.error_slices(_valued(spark, folder), "claim_value", "prediction", "uf"), 4)
 
 
+def prediction_picks(spark, folder):
+    """The lowest, the median and the highest prediction, with their cases."""
+    return attribution.pick_cases(_valued(spark, folder).select("case_id", "prediction"))
+
+
+def case_order(spark, folder):
+    """Every case's position in the order that sinks write: by filing date, then by id."""
+    table = cumulative(casebook.cases(spark, folder), ["filing_date", "case_id"], {"n": F.count(F.lit(1))})
+    return table.select("case_id", F.col("before_n").alias("position"))
+
+
 def wilcoxon_stat(spark, folder):
     """Signed ranks of the fixed predictor's loss against a constant predictor's."""
     losses = _valued(spark, folder).select(
@@ -648,7 +679,8 @@ REPORTS = {
     f.__name__: f
     for f in (
         abt_comarca_180, abt_customer_180, abt_full, abt_book_365, dq_profile, dq_checks,
-        constraint_report, unknown_domain, dedupe_keep_first, dedupe_keep_latest, pseudonyms,
+        constraint_report, book_rules, domain_values, spearman_ranking, prediction_picks, case_order,
+        unknown_domain, dedupe_keep_first, dedupe_keep_latest, pseudonyms,
         book_ids, book_labels, date_shift, sig_round, scrub_documents, scrub_pages,
         scrub_conversations, pii_scan_documents, sensitive_documents, secrecy_filter,
         row_reconciliation, risk_linkage, risk_internal, l_diversity, suppress_k5, k_anonymity_lt5,
