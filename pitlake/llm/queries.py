@@ -63,4 +63,58 @@ QUERIES = {
         op10_embedding_near_dedup,
     )
 }
-SQL: dict[str, str] = {}
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(table: str, key: str, pattern: str) -> str:
+    return f"""SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{pattern}') AS w FROM {table}"""
+
+
+#: Smallest vertex that each vertex reaches over ``links`` (a, b), both ways, or itself.
+REACHED = """reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)"""
+
+NEAR_TEXTS = rf"""
+WITH RECURSIVE d AS ({_words("documents", "doc_id", "[^\x20\x09-\x0D]+")}),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+both_ AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+{REACHED}
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = d.doc_id"""
+
+LEAKS = rf"""
+WITH d AS ({_words("documents", "doc_id", "[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")}),
+items AS ({_words("benchmark", "item_id", "[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")}),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i : i + 9], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+runs AS (SELECT doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS g
+  FROM (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, item_id, i, runs.size FROM runs JOIN windows ON windows.g = runs.g AND windows.size = runs.size),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+met AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN places ON places.doc_id = d.doc_id LEFT JOIN met ON met.doc_id = d.doc_id"""
+
+NEAR_VECTORS = f"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+good AS (SELECT vec_id, x FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+  AND len(list_filter(x, lambda c: c <> 0)) > 0),
+links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM good p JOIN good q ON p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_cosine_similarity(p.x, q.x) >= 0.95),
+{REACHED}
+SELECT v.vec_id, coalesce(n, 0) AS n_links, least(v.vec_id, coalesce(low, v.vec_id)) AS component_id,
+  v.vec_id = least(v.vec_id, coalesce(low, v.vec_id)) AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) k ON k.a = v.vec_id
+LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = v.vec_id"""
+
+#: The other queries need code-point offsets, library results or trained models; tests hold them against brute force.
+SQL = {
+    "op4_ngram_jaccard_join": NEAR_TEXTS,
+    "op5_decontamination": LEAKS,
+    "op10_embedding_near_dedup": NEAR_VECTORS,
+}
