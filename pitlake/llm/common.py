@@ -9,9 +9,18 @@ from pyspark.sql import functions as F
 from pitlake.session import path_exists
 
 HELD_OUT_FOLDS = 5
+BATCH_ROWS = 2_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_ROWS`` rows, so that a worker holds few whole texts at a time."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 

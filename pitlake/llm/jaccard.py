@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import drop_table, free_name, whole
+from pitlake.llm.common import blocks, bounded_batches, drop_table, free_name, whole
 from pitlake.llm.components import components
 from pitlake.session import stage
 
@@ -48,7 +48,7 @@ BAND_RATIO = 1.5
 MORE = 1.2  # partitions of a band, over those that its largest sets need
 SMALL = 24  # members of a bucket whose pairs are listed; others meet by parts
 GROUP_SHINGLES = 400_000  # sets checked together, 8 bytes a shingle
-BLOOM_BITS = 1 << 27  # 16 MB, at every size of the input
+BLOOM_BITS = 1 << 26  # 8 MB, at every size of the input
 
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 SHORT = np.uint64(0xD6E8FEB86659FD93)
@@ -128,16 +128,18 @@ def signatures(h: np.ndarray) -> np.ndarray:
 
 def _sign(batches):
     for batch in batches:
-        seen, sigs, nodes = set(), [], []
-        for text in whole(batch["text"]):
-            h = shingles(text)
-            if len(h) and (node := node_of(h)) not in seen:
-                seen.add(node)
-                own = signatures(h)
-                sigs.append(own)
-                nodes.append(np.full(len(own), node))
-        if sigs:
-            yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "node": np.concatenate(nodes)})
+        seen = set()
+        for texts in blocks(whole(batch["text"])):
+            sigs, nodes = [], []
+            for text in texts:
+                h = shingles(text)
+                if len(h) and (node := node_of(h)) not in seen:
+                    seen.add(node)
+                    own = signatures(h)
+                    sigs.append(own)
+                    nodes.append(np.full(len(own), node))
+            if sigs:
+                yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "node": np.concatenate(nodes)})
 
 
 def _buckets(batches):
@@ -345,6 +347,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Every row's (doc_id, n_shingles, node), and every node's (node, component, component_id)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     signed = docs.select("text").mapInPandas(_sign, "sig long, node long")
     sorted_rows = signed.repartition("sig").sortWithinPartitions("sig", "node")
     buckets = stage(sorted_rows.mapInPandas(_buckets, "sig long, node long"), "buckets")

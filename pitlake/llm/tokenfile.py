@@ -28,7 +28,7 @@ from pitlake.llm.common import blocks, whole
 from pitlake.session import work_folder
 
 END = 2
-LANES = 2048
+LANES = 1024
 CACHED = 300_000
 BLOCK_TYPE = "part long, seq long, n_ids long, payload binary, doc_ids array<long>, ends array<long>"
 

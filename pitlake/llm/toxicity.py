@@ -28,7 +28,7 @@ from pitlake.llm.common import free_name, held_out, labelled_sample, whole
 
 PER_CLASS = 3_000
 LEAST_DOCS, LEAST_Z = 4, 5.0
-KEPT = 300_000
+KEPT = 100_000
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 THRESHOLD = 0.5
 ENDS = ".!?\n"

@@ -25,6 +25,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -35,7 +36,7 @@ from pitlake.llm import vocabulary
 from pitlake.llm.common import free_name, whole
 
 NEVER = 1 << 60
-CACHED = 400_000  # strings whose ids a worker remembers
+CACHED = 150_000  # strings whose ids a worker remembers
 
 
 def sufficient_lookahead(merges: list[tuple[int, int, int]]) -> int:
@@ -197,17 +198,20 @@ def codec(content: str) -> Codec:
 
 def _digest(shared):
     @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
-    def digest(texts: pd.Series) -> pd.DataFrame:
-        own, rows = codec(shared.value), []
-        for text in whole(texts):
-            n, ids_hash, text_hash, state = 0, hashlib.sha256(), hashlib.sha256(), own.decoder()
-            for ids in own.encode(text):
-                n += len(ids) // 4
-                ids_hash.update(ids)
-                text_hash.update(state.feed(ids).encode())
-            text_hash.update(state.end().encode())
-            rows.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        # The tables and caches end with the task, so that later stages find the worker's memory free.
+        own = Codec(vocabulary.Vocabulary(shared.value))
+        for texts in batches:
+            rows = []
+            for text in whole(texts):
+                n, ids_hash, text_hash, state = 0, hashlib.sha256(), hashlib.sha256(), own.decoder()
+                for ids in own.encode(text):
+                    n += len(ids) // 4
+                    ids_hash.update(ids)
+                    text_hash.update(state.feed(ids).encode())
+                text_hash.update(state.end().encode())
+                rows.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return digest
 
