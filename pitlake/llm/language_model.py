@@ -1,9 +1,11 @@
 """Masked pseudo-likelihood scoring with a bidirectional window network trained in numpy.
 
-Each word is predicted from the ``REACH`` words on either side, itself masked. A document's score is the sum of the
-conditional log-probabilities of all its words. The vocabulary is the most frequent words, counted over
-all documents; every other word falls into one of ``SPARE`` hashed entries. The output is a two-level
-softmax (class, then word in its class), so a prediction costs two small products.
+Texts are sequences of pieces: a word (lower case, after one space) is one piece if it is among the most frequent
+words, else it is spelled by the longest pieces that fit, down to single bytes. So no word is unknown, different words
+have different spellings, and each has its own probability however many words the corpus has. Words and the pieces
+of the others are counted over all documents. Each piece is predicted from the ``REACH`` pieces on either side,
+itself masked; a document's log-probability is the sum over all its pieces, its score that sum for each word. The output
+is a two-level softmax (class, then piece in its class), so a prediction costs two small products.
 
 Training is data-parallel and covers the whole corpus: each task trains a copy of the network on positions of
 all its documents (one in ``THIN``, from an offset that the text decides, so the work grows with the input), and
@@ -19,17 +21,22 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import blocks, free_name, whole
+from pitlake.llm.common import blocks, drop_table, free_name, whole
+from pitlake.session import stage
 
-CLASSES = 48
+CLASSES = 64
 SIZE = CLASSES * CLASSES
-SPARE, PAD = 64, 0  # entry 0 stands outside the text, the next SPARE hold the other words
+PAD, BYTES = 0, 256  # entry 0 stands outside the text, the next BYTES are single bytes
+PIECES, LONGEST = 1024, 4  # pieces of 2 to LONGEST bytes that spell the words without an entry
+WORDS = SIZE - 1 - BYTES - PIECES
+KEPT, KEPT_CHARS = 100_000, 64  # spellings that a worker keeps, and the longest word among them
 REACH, WIDTH = 2, 16
 THIN, BATCH, RATE, ROUNDS = 8, 2048, 0.01, 2
 CHUNK, FAN = 8192, 64
@@ -49,22 +56,78 @@ def _count(batches):
         yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
 
-def vocabulary(docs: DataFrame) -> list[str]:
-    """The most frequent words of all documents, ties by the word."""
+def _spelled(word: str) -> bytes:
+    return b" " + word.encode("utf-8", "surrogatepass")
+
+
+def _count_pieces(known: frozenset[str]):
+    """Counts of the runs of 2 to ``LONGEST`` bytes in the words without an entry, each packed into a number."""
+
+    def counted(spelled: list[bytes], times: list[int]):
+        sizes = np.array([len(w) for w in spelled])
+        joined = np.frombuffer(b"".join(spelled), np.uint8).astype(np.int64)
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(joined))
+        weight = np.repeat(np.array(times, np.float64), sizes)
+        code = joined
+        for size in range(2, LONGEST + 1):
+            code = code[:-1] * 256 + joined[size - 1 :]
+            at = np.flatnonzero(left[: len(code)] >= size)
+            kinds, where = np.unique(code[at], return_inverse=True)
+            n = np.bincount(where, weight[at], minlength=len(kinds)).astype(np.int64)
+            yield pd.DataFrame({"size": np.full(len(kinds), size), "code": kinds, "n": n})
+
+    def count(batches):
+        spelled, times, held = [], [], 0
+        for batch in batches:
+            for word, n in zip(batch["word"], batch["n"], strict=True):
+                if word not in known:
+                    spelled.append(_spelled(word))
+                    times.append(n)
+                    held += len(spelled[-1])
+                if held >= 1 << 20:
+                    yield from counted(spelled, times)
+                    spelled, times, held = [], [], 0
+        if spelled:
+            yield from counted(spelled, times)
+
+    return count
+
+
+def vocabulary(docs: DataFrame) -> list[bytes]:
+    """The most frequent words of all documents, ties by the word, and the pieces that save most in spelling the others."""
     counts = docs.select("text").mapInPandas(_count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(SIZE - SPARE - 1).collect()
-    return [r.word for r in top]
+    counts = stage(counts, "words")
+    words = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+    runs = counts.mapInPandas(_count_pieces(frozenset(words)), "size long, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
+    pieces = runs.orderBy(F.desc(F.col("n") * (F.col("size") - 1)), "size", "code").limit(PIECES).collect()
+    drop_table(counts)
+    return list(dict.fromkeys([*map(_spelled, words), *(r.code.to_bytes(r.size, "big") for r in pieces)]))
 
 
 class _Index(dict):
-    """Entry of a word; words outside the vocabulary are hashed and not kept."""
+    """Entries that spell a word. Spellings of words without an entry of their own are kept up to a bound."""
+
+    def __init__(self, entries: list[bytes]):
+        self.entries = {bytes([i]): 1 + i for i in range(BYTES)} | {e: 1 + BYTES + i for i, e in enumerate(entries)}
 
-    def __missing__(self, word: str) -> int:
-        return 1 + zlib.crc32(word.encode("utf-8", "replace")) % SPARE
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        text, entries = _spelled(word), self.entries
+        out, at = [], 0
+        if text in entries:
+            out, at = [entries[text]], len(text)
+        while at < len(text):
+            size = next(n for n in range(min(LONGEST, len(text) - at), 0, -1) if text[at : at + n] in entries)
+            out.append(entries[text[at : at + size]])
+            at += size
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= KEPT:
+                self.clear()
+            self[word] = tuple(out)
+        return tuple(out)
 
 
-def index_of(words: list[str]) -> _Index:
-    return _Index({w: 1 + SPARE + i for i, w in enumerate(words)})
+def index_of(entries: list[bytes]) -> _Index:
+    return _Index(entries)
 
 
 def fresh() -> list[np.ndarray]:
@@ -136,8 +199,9 @@ def gradient(params, around: np.ndarray, target: np.ndarray) -> list[np.ndarray]
             dh[rows] += e @ params[3][c].T
     dh *= 1 - h * h
     grads[1] = dh.sum(axis=0)
-    for j in range(len(OFFSETS)):
-        np.add.at(grads[0][j], around[j], dh)
+    at = (around + SIZE * np.arange(len(OFFSETS))[:, None])[:, :, None] * WIDTH + np.arange(WIDTH)
+    sums = np.bincount(at.ravel(), np.broadcast_to(dh, at.shape).ravel(), minlength=grads[0].size)
+    grads[0] = sums.astype(np.float32).reshape(SHAPES[0])
     return grads
 
 
@@ -145,8 +209,8 @@ def _trainer(shared):
     def train(batches):
         from pyspark import TaskContext
 
-        words, start = shared.value
-        index, params, seen = index_of(words), [p.copy() for p in start], 0
+        entries, start = shared.value
+        index, params, seen = index_of(entries), [p.copy() for p in start], 0
         squares = [np.full_like(p, 1e-8) for p in params]
         held_around, held_target, held = [], [], 0
 
@@ -193,17 +257,15 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _padded(text: str, index: _Index) -> np.ndarray:
-    words = words_of(text)
-    ids = np.full(len(words) + 2 * REACH, PAD, np.int64)
-    ids[REACH : REACH + len(words)] = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
-    return ids
+    ids = np.fromiter(chain.from_iterable(map(index.__getitem__, words_of(text))), np.int64)
+    return np.concatenate([np.full(REACH, PAD), ids, np.full(REACH, PAD)])
 
 
-def train(docs: DataFrame, words: list[str]) -> list[np.ndarray]:
+def train(docs: DataFrame, entries: list[bytes]) -> list[np.ndarray]:
     context, params = docs.sparkSession.sparkContext, fresh()
     kind = "chunk int, part int, weight double, vector array<float>"
     for _ in range(ROUNDS):
-        copies = docs.select("text").mapInPandas(_trainer(context.broadcast((words, params))), kind)
+        copies = docs.select("text").mapInPandas(_trainer(context.broadcast((entries, params))), kind)
         partial = copies.withColumn("part", F.pmod("part", F.lit(FAN))).groupBy("chunk", "part").applyInPandas(_mean, kind)
         found = partial.groupBy("chunk").applyInPandas(_mean, kind).orderBy("chunk").collect()
         if found:
@@ -222,18 +284,18 @@ def score_texts(texts: list[str], params, index: _Index) -> list[tuple[int, floa
         logs[i : i + 65536] = predict(params, windows(joined, part), joined[part + REACH])
     until = np.concatenate([[0.0], np.cumsum(logs)])
     ends = np.cumsum(sizes)
-    return list(zip(sizes.tolist(), (until[ends] - until[ends - sizes]).tolist(), strict=True))
+    return list(zip([len(words_of(t)) for t in texts], (until[ends] - until[ends - sizes]).tolist(), strict=True))
 
 
 def scored(docs: DataFrame, text: str = "text", output: str = "lm") -> DataFrame:
-    """``docs`` with token count and summed log-probability under a network trained on ``docs``."""
+    """``docs`` with word count and summed log-probability under a network trained on ``docs``."""
     corpus = docs.select(F.col(text).alias("text"))
-    words = vocabulary(corpus)
-    shared = docs.sparkSession.sparkContext.broadcast((words, train(corpus, words)))
+    entries = vocabulary(corpus)
+    shared = docs.sparkSession.sparkContext.broadcast((entries, train(corpus, entries)))
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        known, params = shared.value
-        index = index_of(known)
+        entries, params = shared.value
+        index = index_of(entries)
         rows = [r for block in blocks(whole(texts)) for r in score_texts(block, params, index)]
         return pd.DataFrame(rows, columns=["n_tokens", "log_prob"])
 

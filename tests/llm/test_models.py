@@ -149,3 +149,24 @@ def test_language_model_prefers_text_like_the_corpus(spark):
     assert got[9000].score > got[9001].score
     assert (got[9002].n_tokens, got[9002].log_prob, got[9003].score) == (0, 0.0, 0.0)
     assert language_model.report(docs.limit(0)).count() == 0
+
+
+def test_language_model_spells_words_without_an_entry(spark):
+    """Every word has a probability of its own, and junk no longer passes for known words."""
+    rng = random.Random(5)
+    known = ["".join(rng.choice(SYLLABLES) for _ in range(3)) for _ in range(3000)]
+    rows = [(i, " ".join(known[(i * 60 + k) % 3000] for k in range(60))) for i in range(400)]
+    junk = lambda: "".join(rng.choice("qxzjvkwy0123456789") for _ in range(12))
+    odd = [(9000, " ".join(junk() for _ in range(60))), (9001, "qxzjvk\u00e9"), (9002, "qxzjvk\u00e8")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    entries = language_model.vocabulary(docs)
+    index = language_model.index_of(entries)
+    bytes_of = {v: k for k, v in index.entries.items()}
+    assert len(index.entries) < language_model.SIZE
+    words = {w for _, text in rows + odd for w in language_model.words_of(text)}
+    assert all(b"".join(bytes_of[i] for i in index[w]).decode() == f" {w}" for w in words)
+    assert len({index[w] for w in words}) == len(words)
+    got = {r.doc_id: r for r in language_model.report(docs).collect()}
+    assert got[9000].n_tokens == 60
+    assert got[9000].score < min(got[i].score for i, _ in rows)
+    assert got[9001].log_prob != got[9002].log_prob
