@@ -7,10 +7,9 @@ of the others are counted over all documents. Each piece is predicted from the `
 itself masked; a document's log-probability is the sum over all its pieces, its score that sum for each word. The output
 is a two-level softmax (class, then piece in its class), so a prediction costs two small products.
 
-Training is data-parallel and covers the whole corpus: each task trains a copy of the network on positions of
-all its documents (one in ``THIN``, from an offset that the text decides, so the work grows with the input), and
-the copies are averaged, weighted by positions, in a tree of shuffled groups. Only the vocabulary and one
-model, both of fixed size, come to the driver.
+Training is data-parallel and covers the whole corpus: each task trains a copy of the network on every position of
+all its documents, in each of ``ROUNDS`` passes, and the copies are averaged, weighted by positions, in a tree of
+shuffled groups. Only the vocabulary and one model, both of fixed size, come to the driver.
 
 Defined results: null and empty texts have no tokens, log-probability 0 and score 0; an empty corpus has an empty
 vocabulary and no rows. Repeated rows score alike. Scores depend slightly on how the corpus is partitioned, as
@@ -19,7 +18,6 @@ any data-parallel training does.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from itertools import chain
 
@@ -38,7 +36,8 @@ PIECES, LONGEST = 1024, 4  # pieces of 2 to LONGEST bytes that spell the words w
 WORDS = SIZE - 1 - BYTES - PIECES
 KEPT, KEPT_CHARS = 100_000, 64  # spellings that a worker keeps, and the longest word among them
 REACH, WIDTH = 2, 16
-THIN, BATCH, RATE, ROUNDS = 8, 2048, 0.01, 2
+BATCH, RATE, ROUNDS = 2048, 0.01, 2
+HELD = 32 * BATCH  # positions that a task gathers and shuffles at a time
 CHUNK, FAN = 8192, 64
 OFFSETS = [j for j in range(-REACH, REACH + 1) if j]
 SHAPES = [(len(OFFSETS), SIZE, WIDTH), (WIDTH,), (WIDTH, CLASSES), (CLASSES, WIDTH, CLASSES), (CLASSES,), (CLASSES, CLASSES)]
@@ -178,6 +177,11 @@ def windows(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.stack([ids[at + REACH + j] for j in OFFSETS])
 
 
+def positions(n: int) -> list[np.ndarray]:
+    """Every position of a text of ``n`` pieces, at most ``HELD`` at a time."""
+    return [np.arange(i, min(i + HELD, n)) for i in range(0, n, HELD)]
+
+
 def gradient(params, around: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
     h, group, place = hidden(params, around), target // CLASSES, target % CLASSES
     n = len(target)
@@ -230,14 +234,13 @@ def _trainer(shared):
         for batch in batches:
             for text in whole(batch["text"]):
                 ids = _padded(text, index)
-                at = np.arange(zlib.crc32(text.encode("utf-8", "replace")) % THIN, len(ids) - 2 * REACH, THIN)
-                if len(at):
+                for at in positions(len(ids) - 2 * REACH):
                     held_around.append(windows(ids, at))
                     held_target.append(ids[at + REACH])
                     held += len(at)
                     seen += len(at)
-                if held >= 32 * BATCH:
-                    learn()
+                    if held >= HELD:
+                        learn()
         if held:
             learn()
         if seen:

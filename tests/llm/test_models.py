@@ -170,3 +170,17 @@ def test_language_model_spells_words_without_an_entry(spark):
     assert got[9000].n_tokens == 60
     assert got[9000].score < min(got[i].score for i, _ in rows)
     assert got[9001].log_prob != got[9002].log_prob
+
+
+def test_language_model_trains_on_every_position(spark, monkeypatch):
+    """Each piece of each text is a target once in each round."""
+    rows = [(f"w{i} x y z " * (i % 7),) for i in range(50)] + [(None,), ("word " * 3_000,)]
+    docs = spark.createDataFrame(rows, "text string").coalesce(1)
+    entries = language_model.vocabulary(docs)
+    index = language_model.index_of(entries)
+    shared = spark.sparkContext.broadcast((entries, language_model.fresh()))
+    layout = "chunk int, part int, weight double, vector array<float>"
+    trained = docs.mapInPandas(language_model._trainer(shared), layout).filter("chunk = 0").agg({"weight": "sum"}).first()[0]
+    assert trained == sum(len(index[w]) for (text,) in rows for w in language_model.words_of(text or ""))
+    monkeypatch.setattr(language_model, "HELD", 4)
+    assert [list(x) for x in language_model.positions(6)] == [[0, 1, 2, 3], [4, 5]]
