@@ -593,14 +593,8 @@ def stream_gate(spark, folder):
     return gate.read_batches(spark, f"{base}/out").drop("ts")
 
 
-def _small_pool(task: str) -> dict[str, models.Candidate]:
-    """The default candidates with fewer trees and one choice each."""
-    grids = {
-        "decision_tree": {"maxDepth": [5], "minInstancesPerNode": [30]},
-        "random_forest": {"maxDepth": [6], "minInstancesPerNode": [30]},
-        "hist_gbm": {"maxDepth": [3], "minInstancesPerNode": [50], "stepSize": [0.1]},
-    }
-    return {n: models.Candidate(c.build, grids[n]) for n, c in models.candidates(task, 20, 10).items()}
+#: Choices tried of each candidate's grid.
+N_ITER = 8
 
 
 def leaderboard(spark, folder):
@@ -609,7 +603,7 @@ def leaderboard(spark, folder):
     boards = []
     for task in schema.TASKS:
         data = models.task_data(table, schema.TESTBED, task)
-        board = models.compete(data, schema.TESTBED, task, 1, _small_pool(task)).leaderboard(spark)
+        board = models.compete(data, schema.TESTBED, task, N_ITER, models.candidates(task)).leaderboard(spark)
         score = "test_mae" if task == "regression" else "test_roc_auc"
         boards.append(
             board.select(F.lit(task).alias("task"), "model", "cv_score", "cv_score_std", F.col(score).alias("test_score"))
@@ -627,7 +621,7 @@ def _forest(spark: SparkSession, folder: str, task: str) -> tuple[models.FittedM
         table = stage(history.feature_table(casebook.cases(spark, folder), schema.TESTBED), "features")
         data = models.task_data(table, schema.TESTBED, task)
         params = {"maxDepth": 6, "minInstancesPerNode": 30}
-        candidate = _small_pool(task)["random_forest"]
+        candidate = models.candidates(task)["random_forest"]
         model = models.fit_model(data.train, schema.TESTBED, task, "random_forest", candidate, params)
         _fitted[memo] = (model, data.test)
     return _fitted[memo]
