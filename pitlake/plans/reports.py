@@ -660,10 +660,11 @@ def shap_cases(spark, folder):
 
 
 def score_batch(spark, folder):
-    """Requests made from the test rows, validated and scored for both tasks."""
-    value_model, test = _forest(spark, folder, "regression")
+    """Requests made from every row of the feature table, validated and scored for both tasks."""
+    value_model, _ = _forest(spark, folder, "regression")
     chance_model, _ = _forest(spark, folder, "classification")
-    requests = test.withColumn("judge_id", F.col("judge_id").cast("string"))
+    table = stage(history.feature_table(casebook.cases(spark, folder), schema.TESTBED), "features")
+    requests = table.withColumn("judge_id", F.col("judge_id").cast("string"))
     valid, _ = scoring.split_requests(requests)
     scored = scoring.score(chance_model, scoring.score(value_model, valid).drop("model", "trained_at"))
     return scored.select("case_id", "predicted_claim_value", "probability_unfavorable", "model")
