@@ -3,7 +3,7 @@
 A block starts from nothing. Every id is first offered to two predictors, the id that last followed the
 previous two ids and the one that last followed the previous id; adaptive counts, chosen by how sure both have been,
 mix them into one three-way step (order-2 right, order-1 right, neither). An id that neither predicts is coded by its
-four-bit digits from the high end, each under order-0 counts in the context of the digits before. All steps narrow the same
+four-bit digits from the high end, each under order-0 counts in the context of up to two digits before. All steps narrow the same
 64-bit range, which gives out 16-bit words.
 
 Blocks are lanes of numpy arrays: one array operation does the same step of all of them. They share nothing, so any
