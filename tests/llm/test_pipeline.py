@@ -6,7 +6,7 @@ from array import array
 
 import pytest
 from test_joins import jaccard_classes
-from test_models import prose
+from test_trained import prose
 from tokenizers import Tokenizer
 
 import corpus_pipeline
