@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, embeddings, jaccard, language_model, quality, secrets, token_counts, tokenfile, toxicity, transducer, vocabulary
+from pitlake.llm import decontaminate, embeddings, jaccard, language_model, quality, secrets, token_counts, tokenfile, toxicity, transducer, variants, vocabulary
 from pitlake.llm.common import read
 
 
@@ -48,6 +48,10 @@ def op10_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(read(spark, folder, "embeddings"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.report(read(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -61,6 +65,7 @@ QUERIES = {
         op8_token_counts,
         op9_quality,
         op10_embedding_near_dedup,
+        op11_spelling_variants,
     )
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
