@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitlake.llm import decontaminate, embeddings, jaccard, language_model, quality, secrets, token_counts, tokenfile, toxicity, transducer, variants, vocabulary
+from pitlake.llm import decontaminate, embeddings, jaccard, language_model, quality, quality_rules, secrets, token_counts, tokenfile, toxicity, transducer, variants, vocabulary
 from pitlake.llm.common import read
 
 
@@ -52,6 +52,10 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return variants.report(read(spark, folder, "documents"))
 
 
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.report(read(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -66,6 +70,7 @@ QUERIES = {
         op9_quality,
         op10_embedding_near_dedup,
         op11_spelling_variants,
+        op12_quality_rules,
     )
 }
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
