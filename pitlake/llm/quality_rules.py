@@ -91,14 +91,13 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FIELDS = (*COUNTS, "n_lines", "n_distinct")
 
 
-@F.pandas_udf(", ".join(f"{f} long" for f in FIELDS))
-def _measure(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([measured(t) for t in whole(texts)], columns=list(FIELDS), dtype="int64")
-
-
 def statistics(docs: DataFrame, text: str = "text", output: str = "counts") -> DataFrame:
     """``docs`` with one more column: the counts of the whole text."""
-    return docs.withColumn(output, _measure(F.col(text)))
+
+    def measure(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measured(t) for t in whole(texts)], columns=list(FIELDS), dtype="int64")
+
+    return docs.withColumn(output, F.pandas_udf(measure, ", ".join(f"{f} long" for f in FIELDS))(F.col(text)))
 
 
 def base_failed(counts: str = "counts") -> Column:
