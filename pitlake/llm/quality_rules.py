@@ -159,6 +159,16 @@ def grouped(rows: DataFrame) -> DataFrame:
     return rows.join(chosen, "own").drop("own")
 
 
+def _met(rows: DataFrame, models: DataFrame) -> DataFrame:
+    """Each row with the models of its group. They meet by group and salt, so a hot group is dealt to many tasks."""
+    salts = F.sequence(F.lit(0), F.lit(_salts(rows) - 1))
+    return rows.join(models.withColumn("salt", F.explode(salts)), ["g", "salt"]).drop("salt")
+
+
+def _salts(rows: DataFrame) -> int:
+    return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _quartiles(rows: DataFrame) -> DataFrame:
     """(g, i, q1, q2, q3) of each coordinate, from bins of a quarter of its floor."""
     bins = [F.struct(F.lit(i).alias("i"), F.floor(F.col(z) / (FLOORS[i] / 4)).alias("bin")) for i, z in enumerate(Z)]
@@ -207,7 +217,7 @@ def _sign_models(rows: DataFrame, first: DataFrame) -> DataFrame:
     """Start 1: covariance of the directions in which rows lie from the medians, in units of start 0's spreads."""
     away = [(F.col(z) - F.col(m)) * F.col(f"w{i}_{i}") for i, (z, m) in enumerate(zip(Z, MU, strict=True))]
     length = F.sqrt(sum((a * a for a in away[1:]), away[0] * away[0]))
-    unit = rows.join(first, "g").select("g", *[F.when(length > 0, a / length).otherwise(0.0).alias(z) for a, z in zip(away, Z, strict=True)])
+    unit = _met(rows, first).select("g", *[F.when(length > 0, a / length).otherwise(0.0).alias(z) for a, z in zip(away, Z, strict=True)])
     sums = unit.groupBy("g").agg(F.count("*").alias("n"), *_sums([F.col(z) for z in Z])).join(first, "g")
 
     def fit(batches):
@@ -225,7 +235,7 @@ def _sign_models(rows: DataFrame, first: DataFrame) -> DataFrame:
 def _binned(rows: DataFrame, models: DataFrame, sums: list[Column]) -> DataFrame:
     """Sums by (g, start, bin of the distance), with the rows of the group up to the bin and in all."""
     bin_ = F.floor(F.log2(F.greatest(distance(), F.lit(1e-9))) * BINS).cast("int")
-    bins = rows.join(models, "g").withColumn("bin", bin_).groupBy("g", "start", "bin").agg(F.count("*").alias("n"), *sums)
+    bins = _met(rows, models).withColumn("bin", bin_).groupBy("g", "start", "bin").agg(F.count("*").alias("n"), *sums)
     within = Window.partitionBy("g", "start")
     return bins.withColumn("upto", F.sum("n").over(within.orderBy("bin"))).withColumn("all", F.sum("n").over(within))
 
@@ -270,7 +280,7 @@ def chi_square_quantile(share: float, freedom: int) -> float:
 
 
 def fit(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """(g, scale, centre and whitening) of every group of ``rows`` (g, z0, z1, ...), written to the shared folder."""
+    """(g, scale, centre and whitening) of every group of ``rows`` (g, salt, z0, z1, ...), written to the shared folder."""
     first = stage(_first_models(rows), "mcd-starts")
     models = stage(first.unionAll(_sign_models(rows, first)), "mcd")
     drop_table(first)
@@ -301,9 +311,10 @@ def judged(docs: DataFrame, columns: list[str] | None = None) -> DataFrame:
     rows = statistics(docs.select(carried, lang, source, "text"), output=counts)
     rows = rows.select("carried", "lang", "source", F.col(counts).alias("counts"))
     rows = stage(rows.select("*", base_failed().alias("base_failed"), *[v.alias(z) for v, z in zip(vector(), Z, strict=True)]), "statistics")
-    sound = stage(grouped(rows.filter("NOT base_failed")), "groups")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(_salts(rows))).cast("int")
+    sound = stage(grouped(rows.filter("NOT base_failed")).withColumn("salt", salt), "groups")
     drop = F.col("distance") > chi_square_quantile(QUANTILE, SIZE)
-    limits = fit(sound.select("g", *Z))
+    limits = fit(sound.select("g", "salt", *Z))
     known = sound.join(limits, "g").withColumn("distance", distance() / F.col("scale"))
     known = known.withColumn("kept", ~(drop & ((F.col("g") != "0") | (F.col("n_rows") >= LEAST_ROWS))))
     out = [*[F.col(f"carried.{c}").alias(c) for c in columns], *[F.col(f"counts.{c}").alias(c) for c in COUNTS], "base_failed", "kept", "distance"]
