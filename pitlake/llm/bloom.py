@@ -46,7 +46,8 @@ def build(hashed: DataFrame, bits: int, column: str = "hash") -> np.ndarray:
                 part = at[(at // SLICE_BITS) == i] % SLICE_BITS
                 held = own.setdefault(int(i), np.zeros(SLICE_BITS // 8, np.uint8))
                 np.bitwise_or.at(held, part >> 3, np.left_shift(1, part & 7).astype(np.uint8))
-        yield pd.DataFrame({"slice": list(own), "bytes": [x.tobytes() for x in own.values()]})
+        if own:
+            yield pd.DataFrame({"slice": list(own), "bytes": [x.tobytes() for x in own.values()]})
 
     def joined(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         parts = [np.frombuffer(b, np.uint8) for b in rows["bytes"]]

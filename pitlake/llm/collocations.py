@@ -2,7 +2,7 @@
 
 **Counting.** A task gives its words numbers and counts word sequences in a HAT-trie: a shallow trie over word numbers whose
 leaves are hash containers of the remaining numbers; a container that gets too large bursts into a trie node with one
-container for each next word. When the trie holds ``TRIE_ENTRIES`` entries, its largest subtrees leave as sorted runs until it is half
+container for each next word (words alone are its first nodes, kept as an array). When the trie holds ``TRIE_ENTRIES`` entries, its largest subtrees leave as sorted runs until it is half
 empty. Runs are dealt by (language, first three words) and merged there. A row is a phrase with its count
 in a task, so a hot phrase or word costs one row a task and run.
 
@@ -33,14 +33,17 @@ from pitlake.session import stage
 
 LONGEST, LEAST, FIRST = 5, 100, 2_000
 PREFIX_WORDS = 3
-TRIE_ENTRIES = 1_000_000
+TRIE_ENTRIES = 600_000
 CONTAINER_ENTRIES = 4_096
 TASK_WORDS = 1_500_000  # distinct words of a task before its numbers start anew
-SLICE = 4_000_000
-# Bytes that end a piece become one that UTF-8 never has.
-END = b"\xff"
-ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
-TABLE = bytes(0xFF if b in ENDS else b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+SLICE = 2_000_000
+RUN_ROWS = 50_000
+EXACT = 16  # bytes of a word that its first and last eight bytes and its length determine
+# Bytes that end a piece, and bytes between words.
+ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
+LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+KIND = np.array([2 if b in ENDS else 1 if b in GAPS else 0 for b in range(256)], np.uint8)
+KEEP = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)  # the first i of eight bytes
 
 
 class HatTrie:
@@ -126,49 +129,70 @@ class HatTrie:
         return sorted(self.sizes, key=self.sizes.get, reverse=True)
 
 
-class Numbers(dict):
-    """Word -> number of one language in a task; 0 is the end of a piece."""
-
-    def __init__(self, language: str, table: Words):
-        super().__init__({END: 0})
-        self.language, self.table = language, table
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = self.table.append(self.language, word)
-        return number
-
-
 class Words:
-    """The numbered (language, word) pairs of a task, with their hashes."""
-
-    def __init__(self):
-        self.languages: dict[str, Numbers] = {}
-        self.known: list[tuple[str, bytes]] = [("", b"")]
-        self.hashes = [0]
-
-    def append(self, language: str, word: bytes) -> int:
-        self.known.append((language, word))
-        self.hashes.append(xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(language)))
-        return len(self.known) - 1
-
-    def ids(self, languages: list[str], texts: list[str]) -> np.ndarray:
+    """The numbered (language, word) pairs of a task, with their hashes. Number 0 is the end of a piece.
+
+    With a filter only the words that it lets through get a number; all others are 0 as well, because no
+    counted phrase holds them.
+    """
+
+    def __init__(self, filled: np.ndarray | None = None):
+        self.filled = filled
+        self.numbers: dict[str, dict[bytes, int]] = {}
+        self.languages, self.text, self.hashes = [""], [""], [0]
+
+    def of(self, language: str, words: list[bytes]) -> np.ndarray:
+        known = self.numbers.setdefault(language, {})
+        found = list(map(known.get, words))
+        new = [i for i, n in enumerate(found) if n is None]
+        seed = xxhash.xxh32_intdigest(language)
+        hashes = [xxhash.xxh64_intdigest(words[i], seed) for i in new]
+        passes = bloom.may_hold(self.filled, phrase_hash([np.array(hashes, np.uint64)])) if self.filled is not None else np.ones(len(new), bool)
+        for i, h, good in zip(new, hashes, passes.tolist(), strict=True):
+            if not good:
+                found[i] = 0
+            elif words[i] in known:  # twice in this list
+                found[i] = known[words[i]]
+            else:
+                found[i] = known[words[i]] = len(self.text)
+                self.languages.append(language)
+                self.text.append(words[i].decode("utf-8", "replace"))
+                self.hashes.append(h)
+        return np.array(found, np.int64)
+
+    def _of_slice(self, language: str, data: bytes) -> np.ndarray:
+        """Numbers of the words of ``data``, with 0 where a piece ends."""
+        buffer = np.frombuffer(data + bytes(8), np.uint8)
+        kind = KIND[buffer[: len(data)]]
+        inside = np.zeros(len(data) + 2, np.int8)
+        inside[1:-1] = kind == 0
+        edge = np.diff(inside)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        size = ends - starts
+        eight = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))  # the eight bytes from each place on
+        front = eight[starts] & KEEP[np.minimum(size, 8)]
+        back = np.where(size > 8, eight[np.maximum(ends - 8, 0)], np.uint64(0))
+        key = bloom.mixed(bloom.mixed(front) + back * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64))
+        _, first, of = np.unique(key, return_index=True, return_inverse=True)
+        alone = (size > EXACT) | (front != front[first[of]]) | (back != back[first[of]]) | (size != size[first[of]])
+        own = np.flatnonzero(alone)  # long words, and words that share a key with another one
+        seen = np.concatenate([first, own])
+        numbers = self.of(language, [data[a:b] for a, b in zip(starts[seen].tolist(), ends[seen].tolist(), strict=True)])
+        ids = numbers[: len(first)][of]
+        ids[own] = numbers[len(first) :]
+        breaks = np.concatenate([[0], np.cumsum(kind == 2, dtype=np.int64)])
+        at = np.append(breaks[starts], breaks[-1])
+        return np.insert(ids, np.flatnonzero(np.diff(at, prepend=0)), 0)
+
+    def ids(self, language: str, texts: list[str]) -> np.ndarray:
         """Numbers of all words of the texts in order, 0 between pieces and texts."""
-        parts = []
-        for language, text in zip(languages, texts, strict=True):
-            number = self.languages.get(language)
-            if number is None:
-                number = self.languages[language] = Numbers(language, self)
-            data = text.encode("utf-8", "replace").translate(TABLE)
-            at = 0
-            while at < len(data):
-                end = len(data)
-                if end - at > SLICE:
-                    end = data.find(b" ", at + SLICE)
-                    end = len(data) if end < 0 else end
-                parts.append(np.array([number[w] for w in data[at:end].replace(END, b" \xff ").split()], np.int64))
-                at = end
-            parts.append(np.zeros(1, np.int64))
-        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        data, at, parts = "\n".join(texts).encode("utf-8", "replace").translate(LOWER), 0, []
+        while at < len(data):
+            end = data.find(b" ", at + SLICE) if len(data) - at > SLICE else -1
+            end = len(data) if end < 0 else end
+            parts.append(self._of_slice(language, data[at:end]))
+            at = end
+        return np.concatenate([*parts, [0]]) if parts else np.zeros(1, np.int64)
 
 
 def phrase_hash(parts: list[np.ndarray]) -> np.ndarray:
@@ -200,23 +224,15 @@ def _pack(runs: np.ndarray, nexts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return of, first, counts
 
 
-def _level(ids: np.ndarray, table: Words, lengths: range, frequent: np.ndarray | None):
-    """(sequences as an array, counts) for each length; only sequences whose words or pairs pass the filter."""
-    if lengths.start == 1:
-        seen, counts = np.unique(ids[ids > 0], return_counts=True)
-        yield seen[:, None], counts
-        return
-    words = np.array(table.hashes, np.uint64)
+def _level(ids: np.ndarray, table: Words, lengths: range, frequent: np.ndarray):
+    """(sequences as an array, counts) for each length; only sequences whose words and pairs pass the filter."""
     if lengths.start == 2:
-        own = np.unique(ids[ids > 0])
-        good = np.zeros(len(words), bool)
-        good[own] = bloom.may_hold(frequent, phrase_hash([words[own]]))
-        fits = good[ids]
-        at = np.flatnonzero(fits[:-1] & fits[1:])
+        at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
         _, first, counts = _pack(ids[at], ids[at + 1])
         at = at[first]
         yield np.stack([ids[at], ids[at + 1]], 1), counts
         return
+    words = np.array(table.hashes, np.uint64)
     at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
     pair = np.full(len(ids), -1, np.int64)  # number of the frequent pair that begins here
     of, first, _ = _pack(ids[at], ids[at + 1])
@@ -236,70 +252,104 @@ def _level(ids: np.ndarray, table: Words, lengths: range, frequent: np.ndarray |
         yield np.stack([ids[rows + j] for j in range(k)], 1), counts
 
 
-RUN = "lang string, prefix string, phrase string, k int, n long"
+RUN = "lang string, phrase string, n long"
+
+
+def _run(trie: HatTrie, table: Words, firsts: list[int]):
+    """The subtrees as one sorted run, in frames of bounded size; they leave the trie on the way."""
+    text, langs, phrases, counts = table.text, [], [], []
+    for first in sorted(firsts, key=lambda i: (table.languages[i], text[i])):
+        start = text[first]
+        rows = sorted((" ".join([start, *map(text.__getitem__, path[1:])]), n) for path, n in trie.take(first))
+        langs += [table.languages[first]] * len(rows)
+        phrases += [x[0] for x in rows]
+        counts += [x[1] for x in rows]
+        if len(phrases) >= RUN_ROWS:
+            yield pd.DataFrame({"lang": langs, "phrase": phrases, "n": counts})
+            langs, phrases, counts = [], [], []
+    if phrases:
+        yield pd.DataFrame({"lang": langs, "phrase": phrases, "n": counts})
+
 
+def _words_run(table: Words, counts: np.ndarray):
+    """Words alone are the first nodes of the trie: a count for each number."""
+    order = sorted(range(1, len(table.text)), key=lambda i: (table.languages[i], table.text[i]))
+    for at in range(0, len(order), RUN_ROWS):
+        part = order[at : at + RUN_ROWS]
+        yield pd.DataFrame({"lang": [table.languages[i] for i in part], "phrase": [table.text[i] for i in part], "n": counts[part]})
 
-def _run_rows(trie: HatTrie, table: Words, firsts: list[int]) -> pd.DataFrame:
-    """The subtrees as one sorted run."""
-    rows = []
-    for first in firsts:
-        lang = table.known[first][0]
-        for path, n in trie.take(first):
-            words = [table.known[i][1].decode("utf-8", "replace") for i in path]
-            rows.append((lang, " ".join(words[:PREFIX_WORDS]), " ".join(words), len(words), n))
-    rows.sort()
-    return pd.DataFrame(rows, columns=["lang", "prefix", "phrase", "k", "n"])
 
+def _blocks(batches):
+    """(language, whole texts) of bounded size, one language each."""
+    for batch in batches:
+        for lang, rows in batch.groupby("lang", sort=False):
+            for texts in blocks(whole(rows["text"]), SLICE):
+                yield lang, texts
 
-def _counter(lengths: range, shared, entries: int, burst: int):
+
+def _word_counter(batches):
+    table, counts = Words(), np.zeros(1, np.int64)
+    for lang, texts in _blocks(batches):
+        ids = table.ids(lang, texts)
+        seen = np.bincount(ids, minlength=len(counts))
+        seen[: len(counts)] += counts
+        counts = seen
+        if len(table.text) > TASK_WORDS:
+            yield from _words_run(table, counts)
+            table, counts = Words(), np.zeros(1, np.int64)
+    yield from _words_run(table, counts)
+
+
+def _phrase_counter(lengths: range, shared, entries: int, burst: int):
     def count(batches):
-        frequent = shared.value if shared else None
-        table, trie = Words(), HatTrie(burst)
-        for batch in batches:
-            langs, at = batch["lang"].tolist(), 0
-            for texts in blocks(whole(batch["text"]), 4_000_000):
-                ids = table.ids(langs[at : at + len(texts)], texts)
-                at += len(texts)
-                for rows, counts in _level(ids, table, lengths, frequent):
-                    order = np.argsort(rows[:, 0], kind="stable")
-                    rows, counts = rows[order], counts[order]
-                    edge = np.flatnonzero(np.diff(rows[:, 0], prepend=-1, append=-1))
-                    rests = list(map(tuple, rows[:, 1:].tolist()))
-                    counts = counts.tolist()
-                    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-                        trie.add(int(rows[a, 0]), rests[a:b], counts[a:b])
-                if trie.entries > entries:
-                    largest, leaving, kept = trie.largest(), [], trie.entries
-                    while kept > entries // 2:
-                        leaving.append(largest[len(leaving)])
-                        kept -= trie.sizes[leaving[-1]]
-                    yield _run_rows(trie, table, leaving)
-                if len(table.known) > TASK_WORDS:
-                    yield _run_rows(trie, table, trie.largest())
-                    table, trie = Words(), HatTrie(burst)
-        yield _run_rows(trie, table, trie.largest())
+        table, trie = Words(shared.value), HatTrie(burst)
+        for lang, texts in _blocks(batches):
+            for rows, counts in _level(table.ids(lang, texts), table, lengths, shared.value):
+                order = np.argsort(rows[:, 0], kind="stable")
+                rows, counts = rows[order], counts[order].tolist()
+                edge = np.flatnonzero(np.diff(rows[:, 0], prepend=-1, append=-1)).tolist()
+                rests = list(zip(*rows[:, 1:].T.tolist(), strict=True))
+                for a, b in zip(edge[:-1], edge[1:], strict=True):
+                    trie.add(int(rows[a, 0]), rests[a:b], counts[a:b])
+            if trie.entries > entries:
+                largest, leaving, kept = trie.largest(), [], trie.entries
+                while kept > entries // 2:
+                    leaving.append(largest[len(leaving)])
+                    kept -= trie.sizes[leaving[-1]]
+                yield from _run(trie, table, leaving)
+            if len(table.text) > TASK_WORDS:
+                yield from _run(trie, table, trie.largest())
+                table, trie = Words(shared.value), HatTrie(burst)
+        yield from _run(trie, table, trie.largest())
 
     return count
 
 
 def counted(docs: DataFrame, lengths: range, frequent: DataFrame | None = None, entries: int = TRIE_ENTRIES, burst: int = CONTAINER_ENTRIES) -> DataFrame:
-    """(lang, phrase, k, f) of the phrases with so many words, made of the frequent words or pairs."""
-    rows, shared = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text"), None
-    if frequent is not None:
-        shared = docs.sparkSession.sparkContext.broadcast(bloom.build(hashed(frequent), bloom.size_for(frequent.count())))
-    runs = rows.mapInPandas(_counter(lengths, shared, entries, burst), RUN)
-    return runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase", "k").agg(F.sum("n").alias("f")).drop("prefix")
+    """(lang, phrase, k, f) of the words, or of the phrases with so many words made of the frequent words or pairs."""
+    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+    if frequent is None:
+        runs = rows.mapInPandas(_word_counter, RUN)
+    else:
+        filled = bloom.build(hashed(frequent), bloom.size_for(frequent.count()))
+        shared = docs.sparkSession.sparkContext.broadcast(filled)
+        runs = rows.mapInPandas(_phrase_counter(lengths, shared, entries, burst), RUN)
+    keys = ["lang", "phrase"]
+    if lengths.stop - 1 > PREFIX_WORDS:
+        runs, keys = runs.withColumn("prefix", F.substring_index("phrase", " ", PREFIX_WORDS)), ["lang", "prefix", "phrase"]
+    merged = runs.repartition(*keys[:2]).groupBy(keys).agg(F.sum("n").alias("f"))
+    size = F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1
+    return merged.select("lang", "phrase", size.cast("int").alias("k"), "f")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, **limits) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f) of all phrases with ``least`` occurrences or more, and (lang, n) with all words of each language."""
     words = stage(counted(docs, range(1, 2), **limits), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    found = frequent = stage(words.filter(F.col("f") >= least), "frequent")
+    found = stage(words.filter(F.col("f") >= least), "frequent")
     for lengths in (range(2, 3), range(3, longest + 1)):
         if len(lengths):
-            frequent = stage(counted(docs, lengths, frequent, **limits).filter(F.col("f") >= least), "frequent")
-            found = found.unionAll(frequent)
+            found = found.unionAll(stage(counted(docs, lengths, found, **limits).filter(F.col("f") >= least), "frequent"))
     return found, totals
 
 

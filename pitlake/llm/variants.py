@@ -263,7 +263,8 @@ def _compose(batches):
             out = []
     if at:
         _near_in(*at[:3], words, counts, out)
-    yield pd.DataFrame(out, columns=["word", "n_near", "near", "near_n"])
+    if out:
+        yield pd.DataFrame(out, columns=["word", "n_near", "near", "near_n"])
 
 
 def _halved(rows: DataFrame) -> DataFrame:
