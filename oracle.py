@@ -385,6 +385,31 @@ UNION ALL SELECT case_id, uf, claim_value, 2,
   CASE WHEN case_id % 2 = 0 THEN filing_date - 40 ELSE filing_date END
 FROM cases WHERE case_id % 3 = 0 OR case_id % 5 = 0"""
 
+#: Poisson(1) weights of every row and replicate from 32-bit arithmetic on MD5 words; all replicates written out.
+_WORDS = "CAST('0x' || md5({0})[1:8] AS UBIGINT) AS {1}1, CAST('0x' || md5({0})[9:16] AS UBIGINT) AS {1}2"
+_MIX = """{out} AS (SELECT * EXCLUDE (h), xor(h, h >> 16) AS h FROM (SELECT * EXCLUDE (h), (h * 2221713035::UBIGINT) % 4294967296 AS h
+  FROM (SELECT * EXCLUDE (h), xor(h, h >> 15) AS h FROM (SELECT * EXCLUDE (h), (h * 2146121005::UBIGINT) % 4294967296 AS h
+  FROM (SELECT * EXCLUDE (h), xor(h, h >> 16) AS h FROM {of})))))"""
+BOOTSTRAP = f"""{SCORED},
+reps AS (SELECT i, {_WORDS.format("'42:' || i", "s")} FROM (SELECT unnest(range(500)) AS i)),
+cells AS (SELECT i, claim_value, prediction, unfavorable, proba, w2, s2, xor(w1, s1) AS h
+  FROM (SELECT *, {_WORDS.format("CAST(case_id AS VARCHAR)", "w")} FROM s), reps),
+{_MIX.format(out="mixed", of="cells")},
+again AS (SELECT * EXCLUDE (h), xor(xor(h, w2), s2) AS h FROM mixed),
+{_MIX.format(out="done", of="again")},
+law(k, p) AS (SELECT * FROM (WITH RECURSIVE t(k, p) AS (SELECT 0, exp(-1.0) UNION ALL SELECT k + 1, p / (k + 1) FROM t WHERE k < 12) SELECT * FROM t)),
+steps AS (SELECT list(CAST(round(below * 4294967296) AS UBIGINT) ORDER BY k) AS points
+  FROM (SELECT k, sum(p) OVER (ORDER BY k) AS below FROM law) WHERE k < 12),
+weighted AS (SELECT i, claim_value, prediction, unfavorable, proba, len(list_filter(points, lambda x: x <= h)) AS w FROM done, steps),
+losses AS (SELECT i, sum(w * abs(claim_value - prediction)) FILTER (claim_value IS NOT NULL) / sum(w) FILTER (claim_value IS NOT NULL) AS mae,
+    sum(w * (unfavorable - proba) * (unfavorable - proba)) / sum(w) AS brier FROM weighted GROUP BY i),
+places AS (SELECT i, proba, sum(w * unfavorable) AS pos, sum(w * (1 - unfavorable)) AS neg FROM weighted GROUP BY i, proba),
+areas AS (SELECT i, sum(pos * (before + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM (
+  SELECT *, coalesce(sum(neg) OVER (PARTITION BY i ORDER BY proba ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM places) GROUP BY i)
+SELECT 'mae' AS metric, round(quantile_cont(mae, 0.025), 6) AS lower, round(quantile_cont(mae, 0.975), 6) AS upper FROM losses
+UNION ALL SELECT 'brier', round(quantile_cont(brier, 0.025), 6), round(quantile_cont(brier, 0.975), 6) FROM losses
+UNION ALL SELECT 'roc_auc', round(quantile_cont(auc, 0.025), 6), round(quantile_cont(auc, 0.975), 6) FROM areas"""
+
 ORACLE = {
     "incremental_features": REFRESHED,
     "incremental_load": UPSERTED,
@@ -506,4 +531,5 @@ FROM cases WHERE claim_value IS NOT NULL GROUP BY comarca""",
     "peer_z": peer("comarca, vara", 20),
     "peer_z_small_groups": peer("judge_id", 10),
     "request_validation": REQUESTS,
+    "bootstrap_ci": BOOTSTRAP,
 }

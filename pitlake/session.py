@@ -70,6 +70,17 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(tasks)
 
 
+PARTITION_BYTES = 16 << 20  # stored bytes that one task of an iterative fit reads
+
+
+def sized(table: DataFrame) -> DataFrame:
+    """A written table in as many partitions as its bytes ask for, so that many passes over a small one cost few tasks."""
+    spark = table.sparkSession
+    paths = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    stored = sum(size for _, size, _ in table_state(spark, *sorted(paths)))
+    return table.coalesce(max(1, -(-stored // PARTITION_BYTES)))
+
+
 def table_state(spark: SparkSession, *paths: str) -> tuple:
     """(path, length, modification time) of every file below the paths: changes whenever a table does."""
     found = []

@@ -7,7 +7,7 @@ from oracle_check import compare, connect, spark_entry
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no driver tables here")
-SLOW = {"leaderboard", "perm_importance"}  # covered by test_models
+SLOW = {"leaderboard_regression", "leaderboard_classification"}  # minutes each; their parts are covered by test_models
 
 
 @pytest.fixture(scope="module")
