@@ -99,6 +99,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Folders right below a path; none if it is not there."""
+    if not path_exists(spark, path):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(jvm_path)
+    return sorted(f.getPath().toString() for f in found if f.isDirectory())
+
+
 def swap_into_place(spark: SparkSession, staged: str, target: str) -> None:
     """Rename a finished staging folder over ``target`` (the old table is only then replaced)."""
     make = spark._jvm.org.apache.hadoop.fs.Path

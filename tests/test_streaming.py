@@ -126,7 +126,39 @@ def test_late_rows_are_written_once(spark, tmp_path):
     gate.run_available(gate.write_gated(stream, out, str(tmp_path / "cp"), "case_id", "received"))
     got = gate.read_batches(spark, out)
     assert sorted(r.case_id for r in got.collect()) == list(range(60))
-    assert len(list((tmp_path / "out").glob("batch=*"))) == 4
+    assert len(list((tmp_path / "out").glob("query=*/batch=*"))) == 4
+
+
+def deliveries(spark, folder, rows):
+    """One more file of (case_id, day) rows in an input folder."""
+    df = spark.createDataFrame(rows, "case_id string, day int").selectExpr("case_id", "timestamp_seconds(86400L * day) AS received")
+    df.coalesce(1).write.mode("append").parquet(folder)
+    return df.schema
+
+
+def released(spark, folder, layout, out, checkpoint):
+    stream = spark.readStream.schema(layout).option("maxFilesPerTrigger", 1).parquet(folder)
+    gate.run_available(gate.write_gated(stream, out, checkpoint, "case_id", "received"))
+    return sorted(r.case_id for r in gate.read_batches(spark, out).select("case_id").collect())
+
+
+def test_a_key_delivered_again_on_another_day_is_written_once(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    layout = deliveries(spark, folder, [("a", 1), ("b", 1)])
+    assert released(spark, folder, layout, out, checkpoint) == ["a", "b"]
+    deliveries(spark, folder, [("a", 5), ("c", 5), ("c", 6)])
+    assert released(spark, folder, layout, out, checkpoint) == ["a", "b", "c"]  # also after a restart
+
+
+def test_a_new_checkpoint_keeps_earlier_output_and_repeats_none_of_it(spark, tmp_path):
+    folder, other, out = (str(tmp_path / x) for x in ("in", "other", "out"))
+    layout = deliveries(spark, folder, [("a", 1), ("b", 1)])
+    assert released(spark, folder, layout, out, str(tmp_path / "cp1")) == ["a", "b"]
+    deliveries(spark, other, [("a", 9), ("z", 9)])
+    assert released(spark, other, layout, out, str(tmp_path / "cp2")) == ["a", "b", "z"]
+    deliveries(spark, folder, [("z", 2), ("y", 2)])
+    assert released(spark, folder, layout, out, str(tmp_path / "cp1")) == ["a", "b", "y", "z"]
+    assert len(list((tmp_path / "out").glob("query=*"))) == 2
 
 
 def test_upsert_keeps_stored_rows_without_a_date(spark, tmp_path):
