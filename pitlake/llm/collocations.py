@@ -3,8 +3,9 @@
 **Counting.** A task gives its words numbers and counts word sequences in a HAT-trie: a shallow trie over word numbers whose
 leaves are hash containers of the remaining numbers; a container that gets too large bursts into a trie node with one
 container for each next word (words alone are its first nodes, kept as an array). When the trie holds ``TRIE_ENTRIES`` entries, its largest subtrees leave as sorted runs until it is half
-empty. Runs are dealt by (language, first three words) and merged there. A row is a phrase with its count
-in a task, so a hot phrase or word costs one row a task and run.
+empty. A run's row is the subtree of one first word, its phrases in order with their counts; rows are dealt by that prefix
+and merged there. A very frequent first word has its subtree dealt into lots by the second word, so
+no prefix partition holds more than a two-hundredth of a language's phrases.
 
 **Levels.** A phrase is at most as frequent as each of its parts, so words are counted first, then pairs of frequent
 words, then phrases of three to five words all of whose pairs are frequent. What is frequent reaches
@@ -32,7 +33,7 @@ from pitlake.llm.common import blocks, whole
 from pitlake.session import stage
 
 LONGEST, LEAST, FIRST = 5, 100, 2_000
-PREFIX_WORDS = 3
+LOTS, HOT = 64, 200  # a word with a 200th of a language's words has its phrases dealt into lots
 TRIE_ENTRIES = 600_000
 CONTAINER_ENTRIES = 4_096
 TASK_WORDS = 1_500_000  # distinct words of a task before its numbers start anew
@@ -252,23 +253,57 @@ def _level(ids: np.ndarray, table: Words, lengths: range, frequent: np.ndarray):
         yield np.stack([ids[rows + j] for j in range(k)], 1), counts
 
 
-RUN = "lang string, phrase string, n long"
+RUN = "lang string, first string, lot int, rests string, counts binary"
+WORD_RUN = "lang string, phrase string, n long"
 
 
-def _run(trie: HatTrie, table: Words, firsts: list[int]):
-    """The subtrees as one sorted run, in frames of bounded size; they leave the trie on the way."""
-    text, langs, phrases, counts = table.text, [], [], []
+def _run(trie: HatTrie, table: Words, firsts: list[int], hot: set[tuple[str, str]]):
+    """The subtrees as sorted runs, a row each; they leave the trie on the way. Subtrees of hot words are dealt into lots."""
+    text, rows, held = table.text, [], 0
     for first in sorted(firsts, key=lambda i: (table.languages[i], text[i])):
-        start = text[first]
-        rows = sorted((" ".join([start, *map(text.__getitem__, path[1:])]), n) for path, n in trie.take(first))
-        langs += [table.languages[first]] * len(rows)
-        phrases += [x[0] for x in rows]
-        counts += [x[1] for x in rows]
-        if len(phrases) >= RUN_ROWS:
-            yield pd.DataFrame({"lang": langs, "phrase": phrases, "n": counts})
-            langs, phrases, counts = [], [], []
-    if phrases:
-        yield pd.DataFrame({"lang": langs, "phrase": phrases, "n": counts})
+        lang, start, parts = table.languages[first], text[first], {}
+        spread = (lang, start) in hot
+        for path, n in trie.take(first):
+            lot = table.hashes[path[1]] % LOTS if spread else 0
+            parts.setdefault(lot, []).append((" ".join(map(text.__getitem__, path[1:])), n))
+        for lot, entries in parts.items():
+            entries.sort()
+            rests, counts = zip(*entries, strict=True)
+            rows.append((lang, start, lot, "\n".join(rests), np.array(counts, "<i8").astype("<u4" if max(counts) < 1 << 32 else "<i8").tobytes()))
+            held += len(entries)
+        if held >= RUN_ROWS:
+            yield pd.DataFrame(rows, columns=["lang", "first", "lot", "rests", "counts"])
+            rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["lang", "first", "lot", "rests", "counts"])
+
+
+def _merger(least: int):
+    """Runs arrive sorted by prefix; those of one prefix and lot are merged, and what is frequent goes on."""
+
+    def frequent(at, total):
+        kept = [(f"{at[1]} {rest}", n) for rest, n in total.items() if n >= least]
+        return pd.DataFrame({"lang": at[0], "phrase": [x[0] for x in kept], "n": [x[1] for x in kept]}) if kept else None
+
+    def merge(batches):
+        at, total, out = None, {}, []
+        for batch in batches:
+            for lang, first, lot, rests, counts in zip(*(batch[c].tolist() for c in ("lang", "first", "lot", "rests", "counts")), strict=True):
+                if (lang, first, lot) != at:
+                    out.append(frequent(at, total) if at else None)
+                    at, total = (lang, first, lot), {}
+                rests = rests.split("\n")
+                for rest, n in zip(rests, np.frombuffer(counts, f"<u{len(counts) // len(rests)}").tolist(), strict=True):
+                    total[rest] = total.get(rest, 0) + n
+            out = [x for x in out if x is not None]
+            if out:
+                yield pd.concat(out)
+            out = []
+        last = frequent(at, total) if at else None
+        if last is not None:
+            yield last
+
+    return merge
 
 
 def _words_run(table: Words, counts: np.ndarray):
@@ -300,7 +335,7 @@ def _word_counter(batches):
     yield from _words_run(table, counts)
 
 
-def _phrase_counter(lengths: range, shared, entries: int, burst: int):
+def _phrase_counter(lengths: range, shared, hot: set, entries: int, burst: int):
     def count(batches):
         table, trie = Words(shared.value), HatTrie(burst)
         for lang, texts in _blocks(batches):
@@ -316,40 +351,47 @@ def _phrase_counter(lengths: range, shared, entries: int, burst: int):
                 while kept > entries // 2:
                     leaving.append(largest[len(leaving)])
                     kept -= trie.sizes[leaving[-1]]
-                yield from _run(trie, table, leaving)
+                yield from _run(trie, table, leaving, hot)
             if len(table.text) > TASK_WORDS:
-                yield from _run(trie, table, trie.largest())
+                yield from _run(trie, table, trie.largest(), hot)
                 table, trie = Words(shared.value), HatTrie(burst)
-        yield from _run(trie, table, trie.largest())
+        yield from _run(trie, table, trie.largest(), hot)
 
     return count
 
 
-def counted(docs: DataFrame, lengths: range, frequent: DataFrame | None = None, entries: int = TRIE_ENTRIES, burst: int = CONTAINER_ENTRIES) -> DataFrame:
-    """(lang, phrase, k, f) of the words, or of the phrases with so many words made of the frequent words or pairs."""
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
-    if frequent is None:
-        runs = rows.mapInPandas(_word_counter, RUN)
-    else:
-        filled = bloom.build(hashed(frequent), bloom.size_for(frequent.count()))
-        shared = docs.sparkSession.sparkContext.broadcast(filled)
-        runs = rows.mapInPandas(_phrase_counter(lengths, shared, entries, burst), RUN)
-    keys = ["lang", "phrase"]
-    if lengths.stop - 1 > PREFIX_WORDS:
-        runs, keys = runs.withColumn("prefix", F.substring_index("phrase", " ", PREFIX_WORDS)), ["lang", "prefix", "phrase"]
-    merged = runs.repartition(*keys[:2]).groupBy(keys).agg(F.sum("n").alias("f"))
+def _of(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text")
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, phrase, f) of all words."""
+    return _of(docs).mapInPandas(_word_counter, WORD_RUN).groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
+
+
+def counted(
+    docs: DataFrame, lengths: range, frequent: DataFrame, totals: DataFrame, least: int = LEAST, entries: int = TRIE_ENTRIES, burst: int = CONTAINER_ENTRIES
+) -> DataFrame:
+    """(lang, phrase, k, f) of the phrases with so many words, ``least`` times or more, made of the frequent words and pairs."""
+    filled = bloom.build(hashed(frequent), bloom.size_for(frequent.count()))
+    shared = docs.sparkSession.sparkContext.broadcast(filled)
+    words = frequent.filter("k = 1").join(totals, "lang").filter(F.col("f") * HOT >= F.col("n"))
+    hot = {(r.lang, r.phrase) for r in words.select("lang", "phrase").collect()}  # at most HOT words a language
+    runs = _of(docs).mapInPandas(_phrase_counter(lengths, shared, hot, entries, burst), RUN)
+    prefix = ["lang", "first", "lot"]
+    merged = runs.repartition(*prefix).sortWithinPartitions(*prefix).mapInPandas(_merger(least), WORD_RUN)
     size = F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1
-    return merged.select("lang", "phrase", size.cast("int").alias("k"), "f")
+    return merged.select("lang", "phrase", size.cast("int").alias("k"), F.col("n").alias("f"))
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, **limits) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, k, f) of all phrases with ``least`` occurrences or more, and (lang, n) with all words of each language."""
-    words = stage(counted(docs, range(1, 2), **limits), "words")
+    words = stage(word_counts(docs), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    found = stage(words.filter(F.col("f") >= least), "frequent")
+    found = stage(words.filter(F.col("f") >= least).select("lang", "phrase", F.lit(1).alias("k"), "f"), "frequent")
     for lengths in (range(2, 3), range(3, longest + 1)):
         if len(lengths):
-            found = found.unionAll(stage(counted(docs, lengths, found, **limits).filter(F.col("f") >= least), "frequent"))
+            found = found.unionAll(stage(counted(docs, lengths, found, totals, least, **limits), "frequent"))
     return found, totals
 
 
