@@ -3,9 +3,9 @@
 **Counting.** A task gives its words numbers and counts word sequences in a HAT-trie: a shallow trie over word numbers whose
 leaves are hash containers of the remaining numbers; a container that gets too large bursts into a trie node with one
 container for each next word (words alone are its first nodes, kept as an array). When the trie holds ``TRIE_ENTRIES`` entries, its largest subtrees leave as sorted runs until it is half
-empty. A run's row is the subtree of one first word, its phrases in order with their counts; rows are dealt by that prefix
-and merged there. A very frequent first word has its subtree dealt into lots by the second word, so
-no prefix partition holds more than a two-hundredth of a language's phrases.
+empty. Runs are dealt into prefix partitions by the hash of a phrase's first two words, as many as the language's
+words ask for, so that a partition is merged in bounded memory and no frequent word makes a large one. A row is a sorted run of one
+partition, in which phrases with equal first words follow each other and name it once.
 
 **Levels.** A phrase is at most as frequent as each of its parts, so words are counted first, then pairs of frequent
 words, then phrases of three to five words all of whose pairs are frequent. What is frequent reaches
@@ -33,7 +33,8 @@ from pitlake.llm.common import blocks, whole
 from pitlake.session import stage
 
 LONGEST, LEAST, FIRST = 5, 100, 2_000
-LOTS, HOT = 64, 200  # a word with a 200th of a language's words has its phrases dealt into lots
+PART_WORDS = 500_000  # words of a language for each of its prefix partitions
+RUN_FRAME = 64
 TRIE_ENTRIES = 600_000
 CONTAINER_ENTRIES = 4_096
 TASK_WORDS = 1_500_000  # distinct words of a task before its numbers start anew
@@ -253,55 +254,71 @@ def _level(ids: np.ndarray, table: Words, lengths: range, frequent: np.ndarray):
         yield np.stack([ids[rows + j] for j in range(k)], 1), counts
 
 
-RUN = "lang string, first string, lot int, rests string, counts binary"
+RUN = "lang string, part int, phrases string, counts binary"
 WORD_RUN = "lang string, phrase string, n long"
 
 
-def _run(trie: HatTrie, table: Words, firsts: list[int], hot: set[tuple[str, str]]):
-    """The subtrees as sorted runs, a row each; they leave the trie on the way. Subtrees of hot words are dealt into lots."""
-    text, rows, held = table.text, [], 0
-    for first in sorted(firsts, key=lambda i: (table.languages[i], text[i])):
-        lang, start, parts = table.languages[first], text[first], {}
-        spread = (lang, start) in hot
+def _packed(lang: str, part: int, entries: list[tuple[str, int]]) -> tuple:
+    """A sorted run of one prefix partition; a phrase with the first word of the one before it leaves that word out."""
+    entries.sort()
+    texts, last = [], ""
+    for phrase, _ in entries:
+        first, space, rest = phrase.partition(" ")
+        texts.append(space + rest if first == last else phrase)
+        last = first
+    counts = np.array([n for _, n in entries], "<i8")
+    return lang, part, "\n".join(texts), (counts.astype("<u4") if counts.max() < 1 << 32 else counts).tobytes()
+
+
+def _unpacked(phrases: str, counts: bytes):
+    texts, first = phrases.split("\n"), ""
+    for text, n in zip(texts, np.frombuffer(counts, f"<u{len(counts) // len(texts)}").tolist(), strict=True):
+        if text[0] == " ":
+            yield first + text, n
+        else:
+            first = text[: text.index(" ")]
+            yield text, n
+
+
+def _run(trie: HatTrie, table: Words, firsts: list[int], parts: dict[str, int]):
+    """The subtrees as sorted runs, a row for each prefix partition that they meet; they leave the trie on the way."""
+    text, hashes, held = table.text, table.hashes, {}
+    for first in firsts:
+        lang, start = table.languages[first], text[first]
+        of, own = parts[lang], hashes[first] * 31
         for path, n in trie.take(first):
-            lot = table.hashes[path[1]] % LOTS if spread else 0
-            parts.setdefault(lot, []).append((" ".join(map(text.__getitem__, path[1:])), n))
-        for lot, entries in parts.items():
-            entries.sort()
-            rests, counts = zip(*entries, strict=True)
-            rows.append((lang, start, lot, "\n".join(rests), np.array(counts, "<i8").astype("<u4" if max(counts) < 1 << 32 else "<i8").tobytes()))
-            held += len(entries)
-        if held >= RUN_ROWS:
-            yield pd.DataFrame(rows, columns=["lang", "first", "lot", "rests", "counts"])
-            rows, held = [], 0
+            entry = (" ".join([start, *map(text.__getitem__, path[1:])]), n)
+            held.setdefault((lang, (own + hashes[path[1]]) % of), []).append(entry)
+    rows = []
+    for (lang, part), entries in held.items():
+        rows.append(_packed(lang, part, entries))
+        if len(rows) == RUN_FRAME:
+            yield pd.DataFrame(rows, columns=["lang", "part", "phrases", "counts"])
+            rows = []
     if rows:
-        yield pd.DataFrame(rows, columns=["lang", "first", "lot", "rests", "counts"])
+        yield pd.DataFrame(rows, columns=["lang", "part", "phrases", "counts"])
 
 
 def _merger(least: int):
-    """Runs arrive sorted by prefix; those of one prefix and lot are merged, and what is frequent goes on."""
+    """Runs arrive sorted by partition; those of one are merged, and what is frequent goes on."""
 
-    def frequent(at, total):
-        kept = [(f"{at[1]} {rest}", n) for rest, n in total.items() if n >= least]
-        return pd.DataFrame({"lang": at[0], "phrase": [x[0] for x in kept], "n": [x[1] for x in kept]}) if kept else None
+    def frequent(lang: str, total: dict[str, int]):
+        kept = [(phrase, n) for phrase, n in total.items() if n >= least]
+        if kept:
+            yield pd.DataFrame({"lang": lang, "phrase": [x[0] for x in kept], "n": [x[1] for x in kept]})
 
     def merge(batches):
-        at, total, out = None, {}, []
+        at, total = None, {}
         for batch in batches:
-            for lang, first, lot, rests, counts in zip(*(batch[c].tolist() for c in ("lang", "first", "lot", "rests", "counts")), strict=True):
-                if (lang, first, lot) != at:
-                    out.append(frequent(at, total) if at else None)
-                    at, total = (lang, first, lot), {}
-                rests = rests.split("\n")
-                for rest, n in zip(rests, np.frombuffer(counts, f"<u{len(counts) // len(rests)}").tolist(), strict=True):
-                    total[rest] = total.get(rest, 0) + n
-            out = [x for x in out if x is not None]
-            if out:
-                yield pd.concat(out)
-            out = []
-        last = frequent(at, total) if at else None
-        if last is not None:
-            yield last
+            for lang, part, phrases, counts in zip(*(batch[c].tolist() for c in ("lang", "part", "phrases", "counts")), strict=True):
+                if (lang, part) != at:
+                    if at:
+                        yield from frequent(at[0], total)
+                    at, total = (lang, part), {}
+                for phrase, n in _unpacked(phrases, counts):
+                    total[phrase] = total.get(phrase, 0) + n
+        if at:
+            yield from frequent(at[0], total)
 
     return merge
 
@@ -335,7 +352,7 @@ def _word_counter(batches):
     yield from _words_run(table, counts)
 
 
-def _phrase_counter(lengths: range, shared, hot: set, entries: int, burst: int):
+def _phrase_counter(lengths: range, shared, parts: dict[str, int], entries: int, burst: int):
     def count(batches):
         table, trie = Words(shared.value), HatTrie(burst)
         for lang, texts in _blocks(batches):
@@ -351,11 +368,11 @@ def _phrase_counter(lengths: range, shared, hot: set, entries: int, burst: int):
                 while kept > entries // 2:
                     leaving.append(largest[len(leaving)])
                     kept -= trie.sizes[leaving[-1]]
-                yield from _run(trie, table, leaving, hot)
+                yield from _run(trie, table, leaving, parts)
             if len(table.text) > TASK_WORDS:
-                yield from _run(trie, table, trie.largest(), hot)
+                yield from _run(trie, table, trie.largest(), parts)
                 table, trie = Words(shared.value), HatTrie(burst)
-        yield from _run(trie, table, trie.largest(), hot)
+        yield from _run(trie, table, trie.largest(), parts)
 
     return count
 
@@ -375,10 +392,9 @@ def counted(
     """(lang, phrase, k, f) of the phrases with so many words, ``least`` times or more, made of the frequent words and pairs."""
     filled = bloom.build(hashed(frequent), bloom.size_for(frequent.count()))
     shared = docs.sparkSession.sparkContext.broadcast(filled)
-    words = frequent.filter("k = 1").join(totals, "lang").filter(F.col("f") * HOT >= F.col("n"))
-    hot = {(r.lang, r.phrase) for r in words.select("lang", "phrase").collect()}  # at most HOT words a language
-    runs = _of(docs).mapInPandas(_phrase_counter(lengths, shared, hot, entries, burst), RUN)
-    prefix = ["lang", "first", "lot"]
+    parts = {r.lang: 1 + r.n // PART_WORDS for r in totals.collect()}  # a row for each language
+    runs = _of(docs).mapInPandas(_phrase_counter(lengths, shared, parts, entries, burst), RUN)
+    prefix = ["lang", "part"]
     merged = runs.repartition(*prefix).sortWithinPartitions(*prefix).mapInPandas(_merger(least), WORD_RUN)
     size = F.length("phrase") - F.length(F.translate("phrase", " ", "")) + 1
     return merged.select("lang", "phrase", size.cast("int").alias("k"), F.col("n").alias("f"))
