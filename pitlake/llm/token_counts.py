@@ -1,16 +1,23 @@
 """Token counts by rank-synchronous array merging.
 
 The distinct pre-tokens of a batch lie end to end in one numpy array of symbols. Each round finds every
-sequence's lowest-rank pair (``minimum.reduceat``), merges its leftmost occurrence in all sequences at
-once, and looks up only the ranks beside the merges. A sequence without a pair left is done: its
-surviving symbols are its count. The counts of pre-tokens seen before are remembered up to a bound.
-
-Defined results: null and empty texts have no bytes and no tokens; a special string inside a text is
-one token, as in the library.
+sequence's lowest-rank pair (``minimum.reduceat``), merges its occurrences in all sequences at once, and
+looks up only the ranks beside the merges. A sequence without a pair left is done: its surviving symbols
+are its count. The counts of pre-tokens seen before are remembered up to a bound.
+
+Occurrences of one rank in one sequence merge together, since a token's uses normally come later in the
+merge list than the token itself; where a list breaks that order, such a rank merges its leftmost occurrence
+only. A sequence longer than ``LONG`` symbols keeps its positions by rank instead of scanning all symbols in
+each round, so a text without any space costs time in proportion to its length.
+
+Defined results: null and empty texts have no bytes and no tokens; a special string inside a text is one
+token, as in the library. Whole texts of any length count; repeated rows each get their count; an empty
+table gives an empty result; other columns are kept, and ``count`` replaces a column named as its output.
 """
 
 from __future__ import annotations
 
+import heapq
 from functools import lru_cache
 
 import numpy as np
@@ -23,9 +30,18 @@ from pitlake.llm.common import blocks, free_name, whole
 
 LIMIT = 512
 CACHED = 600_000  # chunks whose counts a worker remembers; a full store is emptied
+LONG = 2_000  # symbols from which a sequence is merged by its positions of each rank
 NONE = np.int32(2**31 - 1)
 
 
+def apart(hits: np.ndarray) -> np.ndarray:
+    """Of ascending places of one pair, those that merge: in a row of overlapping ones every second."""
+    new = np.ones(len(hits), bool)
+    new[1:] = np.diff(hits) != 1
+    place = np.arange(len(hits))
+    return hits[(place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0]
+
+
 class Merger:
     def __init__(self, vocab: vocabulary.Vocabulary):
         self.vocab = vocab
@@ -35,6 +51,11 @@ class Merger:
         self.keys = np.append(key[self.order], np.int64(2**62))
         self.order = self.order.astype(np.int32)
         self.product = product
+        first_use = np.full(int(max(left.max(), right.max(), product.max())) + 1, len(product))
+        np.minimum.at(first_use, left, np.arange(len(product)))
+        np.minimum.at(first_use, right, np.arange(len(product)))
+        #: Ranks whose product is used by an earlier merge.
+        self.singly = first_use[product] <= np.arange(len(product))
         self.symbol = np.array([vocab.byte_ids[b] for b in range(256)])
         self.counts: dict[str, int] = {}
 
@@ -51,7 +72,9 @@ class Merger:
         data = [w.encode("utf-8", "replace") for w in words]
         sizes = np.array([len(d) for d in data], dtype=np.int64)
         result = sizes.copy()
-        who = np.flatnonzero(sizes > 1)
+        for i in np.flatnonzero(sizes > LONG):
+            result[i] = self.surviving_long(self.symbol[np.frombuffer(data[i], np.uint8)])
+        who = np.flatnonzero((sizes > 1) & (sizes <= LONG))
         if not len(who):
             return result
         data = [data[i] for i in who]
@@ -73,26 +96,75 @@ class Merger:
                 if not len(who):
                     break
             owner = np.repeat(np.arange(len(who)), sizes)
-            hits = np.flatnonzero(rank == lowest[owner])
-            first = np.ones(len(hits), bool)
-            first[1:] = owner[hits[1:]] != owner[hits[:-1]]
-            at = hits[first]
-            symbols[at] = self.product[lowest]
+            at = apart(np.flatnonzero(rank == lowest[owner]))
+            first = np.ones(len(at), bool)
+            first[1:] = owner[at[1:]] != owner[at[:-1]]
+            at = at[first | ~self.singly[lowest[owner[at]]]]
+            symbols[at] = self.product[rank[at]]
             stay = np.ones(len(symbols), bool)
             stay[at + 1] = False
-            # What follows the swallowed symbol decides whether the merged one is its word's last.
-            rank[at] = rank[at + 1]
+            sizes = sizes - np.bincount(owner[at], minlength=len(who))
             symbols, rank = symbols[stay], rank[stay]
-            sizes = sizes - 1
             at = at - np.arange(len(at))
-            starts = np.cumsum(sizes) - sizes
-            after = at < starts + sizes - 1
-            rank[at[after]] = self.ranks(symbols[at[after]], symbols[at[after] + 1])
-            rank[at[~after]] = NONE
-            before = at > starts
-            rank[at[before] - 1] = self.ranks(symbols[at[before] - 1], symbols[at[before]])
+            last = np.zeros(len(symbols), bool)
+            last[np.cumsum(sizes) - 1] = True
+            beside = np.union1d(at, at[at > 0] - 1)
+            rank[beside] = NONE
+            beside = beside[~last[beside]]
+            rank[beside] = self.ranks(symbols[beside], symbols[beside + 1])
         return result
 
+    def surviving_long(self, symbols: np.ndarray) -> int:
+        """The same for one long pre-token: each rank's places lie in a store, lowest rank first."""
+        size = left = len(symbols)
+        follows = np.arange(1, size + 1)
+        before = np.arange(-1, size - 1)
+        rank = np.append(self.ranks(symbols[:-1], symbols[1:]), NONE)
+        store: dict[int, list[np.ndarray]] = {}
+        due: list[int] = []
+
+        def keep(at: np.ndarray) -> None:
+            at = at[rank[at] != NONE]
+            at = at[np.argsort(rank[at], kind="stable")]
+            found = rank[at]
+            for part in np.split(at, np.flatnonzero(np.diff(found)) + 1) if len(at) else ():
+                r = int(rank[part[0]])
+                if r not in store:
+                    store[r] = []
+                    heapq.heappush(due, r)
+                store[r].append(part)
+
+        keep(np.arange(size))
+        while due:
+            r = heapq.heappop(due)
+            at = np.unique(np.concatenate(store.pop(r)))
+            at = at[rank[at] == r]  # places that were swallowed or changed since are stale
+            if not len(at):
+                continue
+            if self.singly[r]:
+                merged, later = at[:1], at[1:]
+            else:
+                # Overlapping places follow each other by link, not by number.
+                new = np.ones(len(at), bool)
+                new[1:] = follows[at[:-1]] != at[1:]
+                place = np.arange(len(at))
+                merged = at[(place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0]
+                later = at[:0]
+            gone = follows[merged]
+            after = follows[gone]
+            symbols[merged] = self.product[r]
+            rank[gone] = NONE
+            follows[merged] = after
+            inner = after < size
+            before[after[inner]] = merged[inner]
+            left -= len(merged)
+            beside = np.union1d(merged, before[merged][before[merged] >= 0])
+            rank[beside] = NONE
+            known = beside[follows[beside] < size]
+            rank[known] = self.ranks(symbols[known], symbols[follows[known]])
+            keep(np.union1d(known, later[rank[later] == r]))
+        return left
+
     def count(self, texts: list[str]) -> list[int]:
         """Tokens of each whole text."""
         rows, new, extra = [], set(), []

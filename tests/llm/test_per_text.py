@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from array import array
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -167,6 +168,44 @@ def test_assigned_characters_are_cut_like_the_library(path):
             assert counter.count([text]) == [len(ids)]
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "a", "ab"])
+def test_long_pre_tokens_count_like_the_library(spark, letters):
+    path = BYTE
+    library = Tokenizer.from_file(path)
+    draw = random.Random(5)
+    words = ["".join(draw.choices(letters, k=n)) for n in (1_999, 2_000, 2_001, 50_000, 1_000_000)]
+    counter = token_counts.Merger(vocabulary.parsed(open(path, encoding="utf-8").read()))
+    assert counter.count(words) == [len(library.encode(w, add_special_tokens=False).ids) for w in words]
+
+
+def plain_merges(text, merges):
+    symbols, ranks = [ord(c) for c in text], {(a, b): (r, c) for r, (a, b, c) in enumerate(merges)}
+    while True:
+        found = [(ranks[pair][0], i) for i, pair in enumerate(zip(symbols, symbols[1:], strict=False)) if pair in ranks]
+        if not found:
+            return len(symbols)
+        i = min(found)[1]
+        symbols[i : i + 2] = [ranks[symbols[i], symbols[i + 1]][1]]
+
+
+@pytest.mark.parametrize("long", [1, 2_000])
+def test_merges_in_any_order_equal_one_merge_at_a_time(monkeypatch, long):
+    """Lists whose tokens may be used before they are made, over both ways of merging."""
+    monkeypatch.setattr(token_counts, "LONG", long)
+    for seed in range(100):
+        draw = random.Random(seed)
+        tokens, merges = [97, 98, 99], {}
+        for n in range(12):
+            made = draw.choice(tokens[3:]) if len(tokens) > 3 and draw.random() < 0.3 else 300 + n
+            merges.setdefault((draw.choice(tokens), draw.choice(tokens)), made)
+            tokens = sorted({*tokens, made})
+        listed = [(*pair, made) for pair, made in merges.items()]
+        draw.shuffle(listed)
+        words = ["".join(draw.choices("abc", k=draw.randint(1, 30))) for _ in range(30)]
+        counter = token_counts.Merger(SimpleNamespace(merges=listed, byte_ids={b: b for b in range(256)}))
+        assert counter.surviving(words).tolist() == [plain_merges(w, listed) for w in words]
+
+
 def test_leaks_against_brute_force(spark):
     rng = random.Random(6)
     words = ["alpha", "beta", "gamma", "é1", "x"]
