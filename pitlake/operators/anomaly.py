@@ -37,30 +37,24 @@ def peer_z(
         "log_claim", F.log1p(F.col(value).cast("double"))
     )
 
-    # Each value counts for its peer group and for the whole table. From here on only distinct
-    # values with counts are ordered and joined; rows are joined once, at the end.
-    whole = F.struct(
-        F.lit(True).alias("_whole"),
-        *[F.lit(None).cast(rows.schema[k].dataType).alias(k) for k in keys],
-        F.col("log_claim").alias("x"),
-    )
-    own = F.struct(F.lit(False).alias("_whole"), *keys, F.col("log_claim").alias("x"))
-    groups = ["_whole", *keys]
-    values = cumulative(
-        rows.select(F.inline(F.array(own, whole))), ["x"], {"n": F.count("x")}, groups, bucket_rows
-    )
-    medians = stage(quantiles_of(values, "x", {"_median": 0.5}, groups, "n", ["n"]), "medians")
-    gaps = null_safe_join(values, medians.drop("n"), groups).select(
-        *groups, F.abs(F.col("x") - F.col("_median")).alias("gap"), F.col("n").alias("_n")
-    )
-    spreads = cumulative(gaps, ["gap"], {"m": F.sum("_n")}, groups, bucket_rows)
-    mads = quantiles_of(spreads, "gap", {"_mad": 0.5}, groups, "m")
-    stats = stage(null_safe_join(medians, mads, groups).withColumnRenamed("n", "_size"), "peers")
-    table = stats.filter("_whole").first()
-    if table is None:
+    # The whole table first: its two medians become literals, so no row is copied for it and no key
+    # stands for all rows. Only distinct values with counts are ordered and joined from here on.
+    middle = exact_quantiles(rows, "log_claim", {"median": 0.5}, bucket_rows=bucket_rows).first()
+    overall = middle["median"] if middle else None
+    if overall is None:
         raise ValueError(f"{value} holds no values")
-    overall, overall_mad = table["_median"], table["_mad"]
-    stats = stats.filter("NOT _whole").drop("_whole")
+    apart = rows.select(F.abs(F.col("log_claim") - F.lit(overall)).alias("gap"))
+    overall_mad = exact_quantiles(apart, "gap", {"mad": 0.5}, bucket_rows=bucket_rows).first()["mad"]
+
+    own = rows.select(*keys, F.col("log_claim").alias("x"))
+    values = cumulative(own, ["x"], {"n": F.count("x")}, keys, bucket_rows)
+    medians = stage(quantiles_of(values, "x", {"_median": 0.5}, keys, "n", ["n"]), "medians")
+    gaps = null_safe_join(values, medians.drop("n"), keys).select(
+        *keys, F.abs(F.col("x") - F.col("_median")).alias("gap"), F.col("n").alias("_n")
+    )
+    spreads = cumulative(gaps, ["gap"], {"m": F.sum("_n")}, keys, bucket_rows)
+    mads = quantiles_of(spreads, "gap", {"_mad": 0.5}, keys, "m")
+    stats = stage(null_safe_join(medians, mads, keys).withColumnRenamed("n", "_size"), "peers")
     enough = F.col("_size") >= min_group
     centre = F.when(enough, F.col("_median")).otherwise(F.lit(overall))
     scale = F.when(enough, F.greatest(MAD_SCALE * F.col("_mad"), F.lit(SCALE_FLOOR))).otherwise(

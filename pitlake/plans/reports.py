@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -372,8 +373,10 @@ def onehot_minfreq(spark, folder):
     train = split.temporal_split(rows).train
     most = train.groupBy("month_key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     encoder = encode.fit_one_hot(train, "month_key", most // 2 + most // 3)
-    ones = sum((c for c in encoder.columns()), F.lit(0.0))
-    return rows.select("case_id", encoder.category().alias("category"), ones.alias("ones"))
+    placed = encoder.with_slot(rows, "slot")
+    vector = vector_to_array(encode.sparse_vector([("slot", encoder.width)], []))
+    ones = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x)
+    return placed.select("case_id", encoder.category("slot").alias("category"), ones.alias("ones"))
 
 
 def target_encode(spark, folder):
