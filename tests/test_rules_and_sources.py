@@ -1,8 +1,11 @@
+import csv
 import hashlib
+import random
 
 import pytest
 from conftest import book_rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlake import schema
 from pitlake.operators import privacy, profile, rules, tables
@@ -105,6 +108,43 @@ def test_missing_table_names_the_step(spark, tmp_path):
         readers.read_table(spark, str(tmp_path / "none"), step="prepare_book")
 
 
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+@pytest.mark.parametrize("split_bytes", ["60", "128m"])
+def test_quoted_line_breaks_read_alike_in_any_splits(spark, tmp_path, split_bytes, ending):
+    draw = random.Random(11)
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    want = []
+    for part in range(2):
+        rows = []
+        for i in range(16):
+            words = ["", "plain", 'with "quotes"', "a, b", "one\ntwo", "\n\nlong " + "x" * 90 + "\nend", 'q"\n"q', "é\n"]
+            rows.append((f"{part}-{i}", draw.choice(words), draw.randint(0, 99)))
+        want += rows
+        with open(folder / f"{part}.csv", "w", encoding="utf-8", newline="") as out:
+            table = csv.writer(out, lineterminator=ending)
+            table.writerow(["k", "two\nlines", "n"])
+            table.writerows(rows)
+    layout = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType())])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        got = readers.read_csv(spark, str(folder), layout)
+        assert got.columns == ["k", "two\nlines", "n"] and got.schema["n"].dataType == T.IntegerType()
+        found = sorted((k, text or "", n) for k, text, n in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == sorted(want)
+
+
+def test_wrong_type_beside_quoted_line_breaks_fails(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text('k,n\n"a\nb",1\nc,many\n')
+    layout = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType())])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_csv(spark, str(path), layout).collect()
+
+
 def test_checksum(spark, tmp_path):
     path = tmp_path / "source.bin"
     path.write_bytes(b"content")
