@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pitlake.operators import history
 from pitlake.operators.tables import latest_per_key
 from pitlake.schema import Track
-from pitlake.session import path_exists, stage
+from pitlake.session import path_exists, stage, subfolders
 
 PART = "filing_part"
 UNDATED = "undated"  # never NULL, so that a part can be compared and addressed
@@ -34,38 +37,91 @@ def high_water_mark(df: DataFrame, loaded_at: str) -> object | None:
     return df.agg(F.max(loaded_at)).first()[0]
 
 
+MANIFESTS = "_manifests"  # Spark takes names with an underscore for no data
+
+
+def _latest(spark: SparkSession, path: str) -> tuple[int, dict | None]:
+    """Number and content of the newest manifest of a table; 0 and None before the first load."""
+    folder = f"{path}/{MANIFESTS}"
+    if not path_exists(spark, folder):
+        return 0, None
+    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    numbers = [int(n.removesuffix(".json")) for n in (f.getPath().getName() for f in listed) if n[0].isdigit()]
+    if not numbers:
+        return 0, None
+    text = spark.read.text(f"{folder}/{max(numbers):010d}.json", wholetext=True).first()[0]
+    return max(numbers), json.loads(text)
+
+
+def _commit(spark: SparkSession, path: str, number: int, months: dict[str, str], layout: T.StructType) -> None:
+    """Publish a state of the table by one rename. A state that another writer published first is an error."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    final = make(f"{path}/{MANIFESTS}/{number:010d}.json")
+    draft = make(f"{path}/{MANIFESTS}/.draft-{uuid.uuid4().hex}")
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft)
+    out.write(bytearray(json.dumps({"months": months, "layout": layout.jsonValue()}).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        raise RuntimeError(f"{path} was changed by another load")
+
+
+def _folders(spark: SparkSession, path: str, manifest: dict, months: list[str]) -> DataFrame:
+    layout = T.StructType.fromJson(manifest["layout"])
+    if not months:
+        return spark.createDataFrame([], layout)
+    folders = [f"{path}/{manifest['months'][m]}/{PART}={m}" for m in months]
+    return spark.read.schema(layout).option("basePath", path).parquet(*folders).select(*layout.names)
+
+
+def read_loaded(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``upsert`` as its newest manifest states it: all of a load or nothing of it."""
+    _, manifest = _latest(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"no such table: {path}")
+    return _folders(spark, path, manifest, sorted(manifest["months"]))
+
+
 def upsert(
     spark: SparkSession, path: str, incoming: DataFrame, key: str, loaded_at: str
 ) -> DataFrame:
     """Merge new rows into a table partitioned by filing month: the latest load of a key wins.
 
-    Only months that hold an incoming row, or the old row of an incoming key, are rewritten. The
-    merged months are written to the shared folder first, so a failure leaves the table readable
-    and a rerun of the same rows gives the same table.
+    Only months that hold an incoming row, or the old row of an incoming key, are written again, into a
+    folder of this load. A manifest of all month folders is published last by one rename, and readers go
+    by the newest one: a load that stops at any step leaves the old table, and a rerun of the same rows
+    gives the same table. One load at a time may write.
     """
     fresh = stage(with_part(incoming), "incoming")
-    if not path_exists(spark, path):
-        latest_per_key(fresh, key, [F.col(loaded_at)]).write.partitionBy(PART).parquet(path)
-        return spark.read.parquet(path)
-    current = spark.read.parquet(path)
-    current = current.withColumn(PART, F.col(PART).cast("string"))
-    keys = fresh.select(key).distinct()
-    months = (
-        fresh.select(PART)
-        .unionByName(current.join(keys, key, "left_semi").select(PART))
-        .distinct()
-    )
-    touched = [r[0] for r in months.collect()]  # at most one per calendar month
-    old = current.filter(F.col(PART).isin(touched))
-    both = old.unionByName(fresh.select(*old.columns))
+    number, manifest = _latest(spark, path)
+    kept = dict(manifest["months"]) if manifest else {}
+    both = fresh
+    if manifest:
+        current = _folders(spark, path, manifest, sorted(kept))
+        keys = fresh.select(key).distinct()
+        gone = current.join(keys, key, "left_semi").select(PART)
+        touched = [r[0] for r in fresh.select(PART).unionByName(gone).distinct().collect()]  # one per calendar month
+        old = _folders(spark, path, manifest, sorted(set(touched) & set(kept)))
+        both = old.unionByName(fresh.select(*old.columns))
+        kept = {m: folder for m, folder in kept.items() if m not in touched}
     merged = stage(latest_per_key(both, key, [F.col(loaded_at)]), "merged")
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
-    kept = {r[0] for r in merged.select(PART).distinct().collect()}
-    for month in set(touched) - kept:  # every row of it moved elsewhere
-        gone = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{PART}={month}")
-        gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
-    spark.catalog.refreshByPath(path)
-    return spark.read.parquet(path)
+    load = f"load={number + 1:010d}-{uuid.uuid4().hex[:12]}"
+    merged.write.partitionBy(PART).parquet(f"{path}/{load}")
+    kept |= {r[0]: load for r in merged.select(PART).distinct().collect()}
+    _commit(spark, path, number + 1, kept, merged.schema)
+    return read_loaded(spark, path)
+
+
+def discard_superseded(spark: SparkSession, path: str) -> None:
+    """Delete month folders that the newest manifest does not name, once no reader of older ones is left."""
+    _, manifest = _latest(spark, path)
+    named = {(folder, f"{PART}={month}") for month, folder in (manifest or {"months": {}})["months"].items()}
+    for load in subfolders(spark, path):
+        for month in subfolders(spark, load):
+            if tuple(month.rsplit("/", 2)[1:]) not in named and load.rsplit("/", 1)[1].startswith("load="):
+                old = spark._jvm.org.apache.hadoop.fs.Path(month)
+                old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def affected_days(changed: DataFrame, cases: DataFrame, key: str, window_days: int) -> DataFrame:

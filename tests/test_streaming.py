@@ -60,7 +60,7 @@ def test_upserts_equal_a_full_rebuild(spark, cases, tmp_path):
     path = str(tmp_path / "table")
     first = cases.filter("hash(case_id) % 3 <> 0").withColumn("loaded_at", F.lit(1))
     incremental.upsert(spark, path, first, "case_id", "loaded_at")
-    mark = incremental.high_water_mark(spark.read.parquet(path), "loaded_at")
+    mark = incremental.high_water_mark(incremental.read_loaded(spark, path), "loaded_at")
     late = cases.filter("hash(case_id) % 3 = 0 OR hash(case_id) % 5 = 0").withColumn("loaded_at", F.lit(2))
     late = late.withColumn("decision_date", F.date_add("decision_date", 10))
     moved = late.withColumn("filing_date", F.date_sub("filing_date", F.when(F.expr("hash(case_id) % 2 = 0"), 40).otherwise(0)))
@@ -167,3 +167,31 @@ def test_upsert_keeps_stored_rows_without_a_date(spark, tmp_path):
     incremental.upsert(spark, path, spark.createDataFrame([(1, None, 1), (2, None, 1), (3, dt.date(2020, 1, 5), 1)], layout), "case_id", "loaded_at")
     got = incremental.upsert(spark, path, spark.createDataFrame([(2, None, 2), (3, None, 2)], layout), "case_id", "loaded_at")
     assert sorted((r.case_id, r.loaded_at) for r in got.collect()) == [(1, 1), (2, 2), (3, 2)]
+
+
+@pytest.mark.parametrize("step", ["month folders", "manifest"])
+def test_a_stopped_load_leaves_the_old_table(spark, tmp_path, monkeypatch, step):
+    layout, path = "case_id int, filing_date date, loaded_at int", str(tmp_path / "table")
+    day = dt.date(2020, 1, 5)
+    old = [(i, day + dt.timedelta(40 * i), 1) for i in range(4)]
+    incremental.upsert(spark, path, spark.createDataFrame(old, layout), "case_id", "loaded_at")
+    news = spark.createDataFrame([(0, dt.date(2021, 7, 1), 2), (1, old[1][1], 2), (9, day, 2)], layout)
+
+    def rows():
+        return sorted((r.case_id, r.filing_date, r.loaded_at) for r in incremental.read_loaded(spark, path).collect())
+
+    with monkeypatch.context() as stopped:
+        if step == "manifest":
+            stopped.setattr(incremental, "_commit", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        else:
+            stopped.setattr(incremental, "latest_per_key", lambda *a: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            incremental.upsert(spark, path, news, "case_id", "loaded_at")
+    assert rows() == old
+    incremental.upsert(spark, path, news, "case_id", "loaded_at")
+    want = sorted([(0, dt.date(2021, 7, 1), 2), (1, old[1][1], 2), *old[2:], (9, day, 2)])
+    assert rows() == want
+    incremental.discard_superseded(spark, path)
+    assert rows() == want
+    with pytest.raises(RuntimeError, match="another load"):
+        incremental._commit(spark, path, 2, {}, news.schema)
