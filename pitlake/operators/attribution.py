@@ -20,6 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitlake.operators.boosting import BoostedTrees
 from pitlake.operators.models import FittedModel
 from pitlake.operators.ordering import cumulative
 from pitlake.operators.split import deterministic_sample
@@ -43,13 +44,22 @@ class Leaves:
 
 
 def has_tree_table(model: FittedModel) -> bool:
-    return hasattr(model.model, "toDebugString") and hasattr(model.model, "write")
+    known = hasattr(model.model, "toDebugString") and hasattr(model.model, "write")
+    return known or isinstance(model.model, BoostedTrees)
 
 
 def _node_table(model: FittedModel, df: DataFrame) -> pd.DataFrame:
-    """One row per node of every tree, read from the saved estimator."""
+    """One row per node of every tree; Spark's own trees are read from the saved estimator."""
     import uuid
 
+    if isinstance(model.model, BoostedTrees):
+        rows = [
+            (tree, i, n["value"], float(n["rows"]), n["left"], n["left"] + 1 if n["left"] >= 0 else -1, n["feature"], n["threshold"])
+            for tree, nodes in enumerate(model.model.nodes())
+            for i, n in enumerate(nodes)
+        ]
+        return pd.DataFrame(rows, columns=["tree", "id", "prediction", "cover", "leftChild", "rightChild", "feature", "threshold"])
+
     path = f"{work_folder(df.sparkSession)}/estimator-{uuid.uuid4().hex[:12]}"
     model.model.write().save(path)
     nodes = df.sparkSession.read.parquet(f"{path}/data")
@@ -74,8 +84,11 @@ def leaf_tables(model: FittedModel, df: DataFrame) -> tuple[float, list[Leaves]]
     """The mean output over training rows and the leaves, scaled to the model's raw output."""
     nodes = _node_table(model, df)
     trees = nodes["tree"].nunique()
-    boosted = hasattr(model.model, "treeWeights") and "GBT" in type(model.model).__name__
-    if boosted:
+    own = isinstance(model.model, BoostedTrees)
+    boosted = own or hasattr(model.model, "treeWeights") and "GBT" in type(model.model).__name__
+    if own:
+        weights = [1.0] * trees
+    elif boosted:
         factor = 2.0 if model.task == "classification" else 1.0
         weights = [factor * w for w in model.model.treeWeights]
     else:
@@ -83,7 +96,7 @@ def leaf_tables(model: FittedModel, df: DataFrame) -> tuple[float, list[Leaves]]
     probability = model.task == "classification" and not boosted
 
     by_width: dict[int, list[tuple]] = {}
-    base = 0.0
+    base = model.model.start if own else 0.0
     for tree, part in nodes.groupby("tree"):
         node = {r.id: r for r in part.itertuples()}
 
