@@ -7,7 +7,8 @@ them that pass). The leaf's game is v * prod(o or z), and its Shapley value for
     v * (o_i - z_i) * integral over t in [0, 1] of prod_{j != i} ((1 - t) z_j + t o_j)
 
 a polynomial in t, which Gauss-Legendre nodes integrate exactly. Rows are mapped in Arrow batches
-against a table of leaves; the table's size is fixed by the model, not by the data.
+against blocks of leaves of bounded bytes. Contributions add up over leaves, so each block adds its part to
+the rows' sums; a model of one block needs one pass, a larger one a written table of sums between blocks.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from pitlake.session import spread, stage, work_folder
 EXACT = "exact tree attribution"
 SAMPLED = "sampled-permutation attribution (approximate)"
 ADDITIVITY_LIMIT = 1e-4
+BLOCK_BYTES = 64 << 20  # leaves that one broadcast, and a Python worker, holds at a time
 _CELLS = 2_000_000  # floats per numpy block
 
 
@@ -135,6 +137,25 @@ def leaf_tables(model: FittedModel, df: DataFrame) -> tuple[float, list[Leaves]]
     return base, tables
 
 
+def leaf_blocks(tables: list[Leaves], features: int, limit: int) -> list[list[Leaves]]:
+    """The leaves dealt into blocks of at most ``limit`` bytes with what a worker builds of them, one leaf at least."""
+    blocks: list[list[Leaves]] = [[]]
+    free = limit
+    for t in tables:
+        each = 8 + t.feature.shape[1] * (32 + 8 * features)
+        at = 0
+        while at < len(t.value):
+            if free < each and blocks[-1]:
+                blocks.append([])
+                free = limit
+            upto = at + max(1, free // each)
+            part = Leaves(t.value[at:upto], t.feature[at:upto], t.low[at:upto], t.high[at:upto], t.share[at:upto])
+            blocks[-1].append(part)
+            free -= each * len(part.value)
+            at = upto
+    return blocks
+
+
 def leaf_attribution(x: np.ndarray, tables: list[Leaves]) -> np.ndarray:
     """Contributions of every feature for every row of ``x``."""
     out = np.zeros_like(x, dtype=float)
@@ -168,20 +189,30 @@ def explain_rows(model: FittedModel, df: DataFrame, *keep: str) -> DataFrame:
         *keep, "prediction", "raw_output", vector_to_array("features").alias("feature_values")
     )
     scored = scored if df.isStreaming else stage(scored, "scored")
-    shared = df.sparkSession.sparkContext.broadcast(tables)
-
-    def contributions(batches):
+    layout = model.encoder.layout()
+    size = sum(layout.widths) + layout.tail
+    rows = spread(scored).withColumn("phi", F.array_repeat(F.lit(0.0), size))
+    blocks = leaf_blocks(tables, size, BLOCK_BYTES)
+    for i, block in enumerate(blocks):
+        shared = df.sparkSession.sparkContext.broadcast(block)
+        rows = rows.mapInPandas(_adding(shared), rows.schema)
+        if i + 1 < len(blocks) and not df.isStreaming:
+            rows = stage(rows, "contributions")
+            shared.destroy()
+    return rows.withColumn("base_value", F.lit(base))
+
+
+def _adding(shared):
+    """Adds the contributions of a broadcast block of leaves to ``phi``."""
+
+    def add(batches):
         for pdf in batches:
             if len(pdf):
-                x = np.stack(pdf["feature_values"].to_numpy())
-                pdf["phi"] = list(leaf_attribution(x, shared.value))
-            else:
-                pdf["phi"] = []
+                x, phi = np.stack(pdf["feature_values"].to_numpy()), np.stack(pdf["phi"].to_numpy())
+                pdf["phi"] = list(phi + leaf_attribution(x, shared.value))
             yield pdf
 
-    layout = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in scored.schema.fields)
-    phi = spread(scored).mapInPandas(contributions, f"{layout}, phi array<double>")
-    return phi.withColumn("base_value", F.lit(base))
+    return add
 
 
 def explain_rows_sampled(
