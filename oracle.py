@@ -108,6 +108,15 @@ PSEUDONYMS = f"""{BASE} SELECT case_id, {keyed("lower(trim(judge_name))", "JUDGE
 {keyed("regexp_replace(judge_name, '[^0-9]', '', 'g')", "CASE")} AS number_pseudonym FROM cases"""
 
 
+#: Written from what the texts are made of, not by scrubbing them.
+GATE = f"""{BASE} SELECT {keyed("lpad(CAST(case_id AS VARCHAR), 20, '0')", "CASE")} AS case_id,
+  {keyed("lower(judge_name) || ' sao paulo'", "JUDGE")} AS judge_id, uf, comarca, vara, sentence_outcome,
+  CAST(filing_date + {SHIFT} AS DATE) AS filing_date, CAST(decision_date + {SHIFT} AS DATE) AS decision_date,
+  @SIG@ AS claim_value, CASE WHEN case_id % 7 = 0 THEN '[TEXTO_REMOVIDO_DADO_SENSIVEL_ART_11]'
+    ELSE 'Processo [PROCESSO]: [NOME] (CPF [CPF]) perante [NOME].' END AS sentence_text
+FROM cases WHERE NOT segredo_justica"""
+
+
 def sig(digits: int) -> str:
     k = f"({digits - 1} - floor(log10(abs(claim_value))))"
     return (
@@ -258,6 +267,17 @@ ORDERED = f"""{BASE}, o AS (SELECT *, row_number() OVER (ORDER BY filing_date, c
 cut AS (SELECT filing_date AS day FROM o WHERE pos = CAST(floor(total * (1 - 0.2)) AS BIGINT))"""
 
 
+#: Every test row is explained, exactly: only rows with an amount are split for the regression.
+ADDITIVITY = f"""{BASE}, t AS (SELECT 'regression' AS task, filing_date, case_id FROM cases WHERE claim_value IS NOT NULL
+  UNION ALL SELECT 'classification', filing_date, case_id FROM cases),
+o AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY filing_date, case_id) - 1 AS pos, count(*) OVER (PARTITION BY task) AS total FROM t),
+cut AS (SELECT task, filing_date AS day FROM o WHERE pos = CAST(floor(total * (1 - 0.2)) AS BIGINT))
+SELECT task, 'exact tree attribution' AS explainer,
+  CASE task WHEN 'regression' THEN 'log1p(BRL)' ELSE 'class-1 probability' END AS output_space,
+  count(*) AS cases, 0.0::DOUBLE AS max_error, true AS ok
+FROM o JOIN cut USING (task) WHERE filing_date >= day GROUP BY task"""
+
+
 def time_split(purge: str) -> str:
     return f"""{ORDERED} SELECT case_id, CASE WHEN filing_date < day THEN 'train' ELSE 'test' END AS part
 FROM o, cut WHERE filing_date >= day OR (filing_date < day {purge})"""
@@ -445,6 +465,8 @@ ORACLE = {
     "dedupe_keep_first": dedupe("ASC"),
     "dedupe_keep_latest": dedupe("DESC"),
     "pseudonyms": PSEUDONYMS,
+    "gate_release": GATE.replace("@SIG@", sig(2)),
+    "tree_shap_additivity": ADDITIVITY,
     "book_ids": f"{BASE} SELECT case_id, 'BOOK_' || upper(substr(sha256('{ids.PUBLIC_ID_NAMESPACE}' || case_id), 1, 16)) AS book_id FROM cases",
     "book_labels": f"""{BASE} SELECT case_id, reformed, CASE WHEN decision_outcome IN ('F', 'P') THEN 1 ELSE 0 END AS binary_label,
   filing_date, CAST(year(filing_date) AS INT) AS filing_year, round(ln(1 + claim_value), 6) AS claim_value_log,

@@ -125,6 +125,25 @@ def pseudonyms(spark, folder):
     )
 
 
+def gate_release(spark, folder):
+    """The whole gate over cases given accented names, numbers and texts; released only if the scan finds nothing."""
+    case = F.col("case_id").cast("string")
+    raw = casebook.cases(spark, folder).select(
+        F.lpad(case, 20, "0").alias("process_number"),
+        F.lpad(F.pmod(F.col("case_id"), F.lit(10**11)).cast("string"), 11, "0").alias("cpf"),
+        F.concat(F.lit("José "), "vara").alias("party_name"),
+        F.concat(F.translate("judge_name", "Cuo", "Çúô"), F.lit(" Sa\u0303o  Paulo")).alias("judge_name"),
+        "uf", "comarca", "vara", "filing_date", "decision_date", "claim_value", "sentence_outcome", "segredo_justica",
+        F.when(F.col("case_id") % 7 == 0, " Laudo médico anexo.").otherwise("").alias("_more"),
+    )
+    told = ["Processo ", "process_number", ": ", F.upper("party_name"), " (CPF ", "cpf", ") perante ", "judge_name", "."]
+    parts = [F.col(x) if isinstance(x, str) and x in raw.columns else x if not isinstance(x, str) else F.lit(x) for x in told]
+    raw = raw.withColumn("sentence_text", F.concat(*parts, "_more")).drop("_more")
+    released = stage(privacy.anonymise(raw, DEMO_KEY), "released")
+    privacy.assert_no_pii(released)
+    return released
+
+
 def book_ids(spark, folder):
     return casebook.cases(spark, folder).select("case_id", ids.public_id(F.col("case_id")).alias("book_id"))
 
@@ -649,7 +668,7 @@ def tree_shap_additivity(spark, folder):
     for task in schema.TASKS:
         model, test = _forest(spark, folder, task)
         found = attribution.explain(model, test, schema.TESTBED.targets()[task], max_cases=None)
-        rows.append((task, found.kind, found.space, found.rows.count(), found.error, found.error < 1e-6))
+        rows.append((task, found.kind, found.space, found.rows.count(), round(found.error, 6), found.error < 1e-6))
     layout = "task string, explainer string, output_space string, cases bigint, max_error double, ok boolean"
     return spark.createDataFrame(rows, layout)
 
@@ -682,7 +701,7 @@ REPORTS = {
     for f in (
         abt_comarca_180, abt_customer_180, abt_full, abt_book_365, dq_profile, dq_checks,
         constraint_report, book_rules, domain_values, spearman_ranking, prediction_picks, case_order,
-        unknown_domain, dedupe_keep_first, dedupe_keep_latest, pseudonyms,
+        unknown_domain, dedupe_keep_first, dedupe_keep_latest, pseudonyms, gate_release,
         book_ids, book_labels, date_shift, sig_round, scrub_documents, scrub_pages,
         scrub_conversations, pii_scan_documents, sensitive_documents, secrecy_filter,
         row_reconciliation, risk_linkage, risk_internal, l_diversity, suppress_k5, k_anonymity_lt5,
