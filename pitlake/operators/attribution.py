@@ -6,8 +6,9 @@ them that pass). The leaf's game is v * prod(o or z), and its Shapley value for
 
     v * (o_i - z_i) * integral over t in [0, 1] of prod_{j != i} ((1 - t) z_j + t o_j)
 
-a polynomial in t, which Gauss-Legendre nodes integrate exactly. Rows are mapped in Arrow batches
-against blocks of leaves of bounded bytes. Contributions add up over leaves, so each block adds its part to
+a polynomial in t, which Gauss-Legendre nodes integrate exactly. A leaf that tests few features has few games,
+one for each pattern of agreements, so its contributions are looked up; leaves of like conditions share a table.
+Rows are mapped in Arrow batches against blocks of leaves of bounded bytes. Contributions add up over leaves, so each block adds its part to
 the rows' sums; a model of one block needs one pass, a larger one a written table of sums between blocks.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.operators.boosting import BoostedTrees
-from pitlake.operators.models import FittedModel
+from pitlake.operators.models import OWN, FittedModel
 from pitlake.operators.ordering import cumulative
 from pitlake.operators.split import deterministic_sample
 from pitlake.session import spread, stage, work_folder
@@ -32,6 +33,8 @@ SAMPLED = "sampled-permutation attribution (approximate)"
 ADDITIVITY_LIMIT = 1e-4
 BLOCK_BYTES = 64 << 20  # leaves that one broadcast, and a Python worker, holds at a time
 _CELLS = 2_000_000  # floats per numpy block
+_TABLED = 6  # most features of a leaf whose contributions are looked up
+_BITS = 7  # most conditions of a table
 
 
 @dataclass(frozen=True)
@@ -47,14 +50,14 @@ class Leaves:
 
 def has_tree_table(model: FittedModel) -> bool:
     known = hasattr(model.model, "toDebugString") and hasattr(model.model, "write")
-    return known or isinstance(model.model, BoostedTrees)
+    return known or isinstance(model.model, OWN)
 
 
 def _node_table(model: FittedModel, df: DataFrame) -> pd.DataFrame:
     """One row per node of every tree; Spark's own trees are read from the saved estimator."""
     import uuid
 
-    if isinstance(model.model, BoostedTrees):
+    if isinstance(model.model, OWN):
         rows = [
             (tree, i, n["value"], float(n["rows"]), n["left"], n["left"] + 1 if n["left"] >= 0 else -1, n["feature"], n["threshold"])
             for tree, nodes in enumerate(model.model.nodes())
@@ -86,19 +89,20 @@ def leaf_tables(model: FittedModel, df: DataFrame) -> tuple[float, list[Leaves]]
     """The mean output over training rows and the leaves, scaled to the model's raw output."""
     nodes = _node_table(model, df)
     trees = nodes["tree"].nunique()
-    own = isinstance(model.model, BoostedTrees)
-    boosted = own or hasattr(model.model, "treeWeights") and "GBT" in type(model.model).__name__
-    if own:
+    own = isinstance(model.model, OWN)
+    summed = isinstance(model.model, BoostedTrees)
+    boosted = summed or hasattr(model.model, "treeWeights") and "GBT" in type(model.model).__name__
+    if summed:
         weights = [1.0] * trees
     elif boosted:
         factor = 2.0 if model.task == "classification" else 1.0
         weights = [factor * w for w in model.model.treeWeights]
     else:
         weights = [1.0 / trees] * trees
-    probability = model.task == "classification" and not boosted
+    probability = model.task == "classification" and not boosted and not own
 
     by_width: dict[int, list[tuple]] = {}
-    base = model.model.start if own else 0.0
+    base = model.model.start if summed else 0.0
     for tree, part in nodes.groupby("tree"):
         node = {r.id: r for r in part.itertuples()}
 
@@ -142,7 +146,8 @@ def leaf_blocks(tables: list[Leaves], features: int, limit: int) -> list[list[Le
     blocks: list[list[Leaves]] = [[]]
     free = limit
     for t in tables:
-        each = 8 + t.feature.shape[1] * (32 + 8 * features)
+        width = t.feature.shape[1]
+        each = 8 + width * (32 + (8 << _BITS if width <= _TABLED else 8 * features))
         at = 0
         while at < len(t.value):
             if free < each and blocks[-1]:
@@ -156,25 +161,88 @@ def leaf_blocks(tables: list[Leaves], features: int, limit: int) -> list[list[Le
     return blocks
 
 
+def _games(agrees: np.ndarray, t: Leaves) -> np.ndarray:
+    """Contributions of the features of every leaf, where ``agrees`` says which of them agree: (..., leaves, width)."""
+    nodes, weights = np.polynomial.legendre.leggauss((t.feature.shape[1] + 1) // 2)
+    integral = np.zeros(np.broadcast_shapes(agrees.shape, t.share.shape))
+    for node, weight in zip((nodes + 1) / 2, weights / 2, strict=True):
+        factor = (1 - node) * t.share + node * agrees
+        integral += weight * factor.prod(axis=-1, keepdims=True) / factor
+    return t.value[:, None] * (agrees - t.share) * integral
+
+
+@dataclass(frozen=True)
+class Table:
+    """Contributions of some leaves by the pattern of their conditions: row p for the ones whose bits are set in p."""
+
+    conditions: list[tuple[int, float, float]]  # (feature, low, high)
+    features: list[int]
+    phi: np.ndarray  # (features, patterns)
+
+
+def pattern_tables(t: Leaves) -> list[Table]:
+    """Leaves one after the other share a table as long as they have at most ``_BITS`` conditions together."""
+    width = t.feature.shape[1]
+    patterns = (np.arange(1 << width)[:, None] >> np.arange(width)) & 1
+    phi = _games(patterns[:, None, :].astype(float), t)  # (patterns, leaves, width)
+    conditions = [list(zip(*c, strict=True)) for c in zip(t.feature.tolist(), t.low.tolist(), t.high.tolist(), strict=True)]
+    groups: list[tuple[dict, list[int]]] = []
+    for leaf, mine in enumerate(conditions):
+        if groups and len(groups[-1][0].keys() | set(mine)) <= _BITS:
+            known, leaves = groups[-1]
+        else:
+            known, leaves = {}, []
+            groups.append((known, leaves))
+        for c in mine:
+            known.setdefault(c, len(known))
+        leaves.append(leaf)
+    tables = []
+    for known, leaves in groups:
+        features = sorted({c[0] for c in known})
+        out = np.zeros((len(features), 1 << len(known)))
+        every = np.arange(1 << len(known))
+        for leaf in leaves:
+            own = sum(((every >> known[c]) & 1) << j for j, c in enumerate(conditions[leaf]))
+            for j, c in enumerate(conditions[leaf]):
+                out[features.index(c[0])] += phi[own, leaf, j]
+        tables.append(Table(list(known), features, out))
+    return tables
+
+
+def prepared(tables: list[Leaves]) -> tuple[list[Table], list[Leaves]]:
+    """Tables of the leaves that test few features, and the other leaves."""
+    narrow = [t for t in tables if t.feature.shape[1] <= _TABLED]
+    return [p for t in narrow for p in pattern_tables(t)], [t for t in tables if t.feature.shape[1] > _TABLED]
+
+
 def leaf_attribution(x: np.ndarray, tables: list[Leaves]) -> np.ndarray:
     """Contributions of every feature for every row of ``x``."""
-    out = np.zeros_like(x, dtype=float)
-    for t in tables:
+    return _attribution(x, *prepared(tables))
+
+
+def _attribution(x: np.ndarray, looked_up: list[Table], others: list[Leaves]) -> np.ndarray:
+    columns, sums = np.ascontiguousarray(x.T, dtype=float), np.zeros((x.shape[1], len(x)))
+    for t in looked_up:
+        pattern = np.zeros(len(x), dtype=np.uint8)
+        for bit, (feature, low, high) in enumerate(t.conditions):
+            value = columns[feature]
+            holds = value <= high
+            if low != -np.inf:
+                holds &= value > low
+            pattern |= holds.view(np.uint8) << np.uint8(bit)
+        at = pattern.astype(np.intp)
+        for feature, phi in zip(t.features, t.phi, strict=True):
+            sums[feature] += phi.take(at)
+    out = np.ascontiguousarray(sums.T)
+    for t in others:
         width = t.feature.shape[1]
-        nodes, weights = np.polynomial.legendre.leggauss((width + 1) // 2)
-        nodes, weights = (nodes + 1) / 2, weights / 2
         scatter = [np.zeros((len(t.value), x.shape[1])) for _ in range(width)]
         for j in range(width):
             scatter[j][np.arange(len(t.value)), t.feature[:, j]] = 1.0
         step = max(1, _CELLS // t.feature.size)
         for start in range(0, len(x), step):
             cells = x[start : start + step][:, t.feature]
-            agrees = ((cells > t.low) & (cells <= t.high)).astype(float)
-            integral = np.zeros_like(agrees)
-            for node, weight in zip(nodes, weights, strict=True):
-                factor = (1 - node) * t.share + node * agrees
-                integral += weight * factor.prod(axis=2, keepdims=True) / factor
-            phi = t.value[None, :, None] * (agrees - t.share) * integral
+            phi = _games(((cells > t.low) & (cells <= t.high)).astype(float), t)
             for j in range(width):
                 out[start : start + step] += phi[:, :, j] @ scatter[j]
     return out
@@ -206,10 +274,11 @@ def _adding(shared):
     """Adds the contributions of a broadcast block of leaves to ``phi``."""
 
     def add(batches):
+        ready = prepared(shared.value)
         for pdf in batches:
             if len(pdf):
                 x, phi = np.stack(pdf["feature_values"].to_numpy()), np.stack(pdf["phi"].to_numpy())
-                pdf["phi"] = list(phi + leaf_attribution(x, shared.value))
+                pdf["phi"] = list(phi + _attribution(x, *ready))
             yield pdf
 
     return add
