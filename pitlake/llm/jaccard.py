@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pitlake.llm.common import blocks, bounded_batches, drop_table, free_name, whole
+from pitlake.llm.common import blocks, bounded_batches, drop_table, free_name, give_back, whole
 from pitlake.llm.components import components
 from pitlake.session import stage
 
@@ -140,6 +140,7 @@ def _sign(batches):
                     nodes.append(np.full(len(own), node))
             if sigs:
                 yield pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "node": np.concatenate(nodes)})
+    give_back()
 
 
 def _buckets(batches):
@@ -163,6 +164,7 @@ def _buckets(batches):
         if len(out):
             yield pd.DataFrame(out, columns=["sig", "node"])
         last, given = rows[-1:], bool(shared[-1] or given[-1])
+    give_back()
 
 
 def _bloom_bits(nodes: np.ndarray) -> np.ndarray:
@@ -210,6 +212,7 @@ def _rebuilder(shared):
                 nodes.append(node)
                 sets.append(kept)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_shingles": sizes, "node": pd.array(nodes, dtype="Int64"), "set": sets})
+        give_back()
 
     return rebuild
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitlake.llm import vocabulary
-from pitlake.llm.common import free_name, whole
+from pitlake.llm.common import free_name, give_back, whole
 
 NEVER = 1 << 60
 CACHED = 150_000  # strings whose ids a worker remembers
@@ -200,6 +200,7 @@ def _digest(shared):
     @F.pandas_udf("struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         # The tables and caches end with the task, so that later stages find the worker's memory free.
+        give_back()
         own = Codec(vocabulary.Vocabulary(shared.value))
         for texts in batches:
             rows = []
@@ -212,6 +213,8 @@ def _digest(shared):
                 text_hash.update(state.end().encode())
                 rows.append((n, ids_hash.hexdigest(), text_hash.hexdigest()))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        del own
+        give_back()
 
     return digest
 

@@ -291,3 +291,23 @@ def test_repeated_rows_have_equal_results(odd):
     twice = odd.unionAll(odd)
     n = token_counts.report(twice, BYTE).groupBy("doc_id").agg(F.count("*").alias("n"), F.count_distinct("n_tokens").alias("k"))
     assert n.filter("n <> 2 or k <> 1").filter("doc_id is not null").isEmpty()
+
+
+def test_a_task_gives_freed_memory_back():
+    """Small arrays that one long-lived neighbour keeps in place do not stay with the worker."""
+    import os
+
+    import numpy as np
+
+    from pitlake.llm.common import give_back
+
+    def resident() -> int:
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    held = [np.ones(2_000) for _ in range(8_000)]
+    kept = held[::1000] + held[-1:]
+    del held
+    before = resident()
+    give_back()
+    assert resident() < before - (64 << 20) and len(kept) == 9
