@@ -8,8 +8,8 @@ itself masked; a document's log-probability is the sum over all its pieces, its
 is a two-level softmax (class, then piece in its class), so a prediction costs two small products.
 
 Training is data-parallel and covers the whole corpus: each task trains a copy of the network on every position of
-all its documents, in each of ``ROUNDS`` passes, and the copies are averaged, weighted by positions, in a tree of
-shuffled groups. Only the vocabulary and one model, both of fixed size, come to the driver.
+all its documents, in each of ``ROUNDS`` passes, in batches that grow while it learns, and the copies are averaged, weighted by
+positions, in a tree of shuffled groups. Only the vocabulary and one model, both of fixed size, come to the driver.
 
 Defined results: null and empty texts have no tokens, log-probability 0 and score 0; an empty corpus has an empty
 vocabulary and no rows. Repeated rows score alike. Scores depend slightly on how the corpus is partitioned, as
@@ -19,6 +19,7 @@ any data-parallel training does.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -34,9 +35,9 @@ SIZE = CLASSES * CLASSES
 PAD, BYTES = 0, 256  # entry 0 stands outside the text, the next BYTES are single bytes
 PIECES, LONGEST = 1024, 4  # pieces of 2 to LONGEST bytes that spell the words without an entry
 WORDS = SIZE - 1 - BYTES - PIECES
-KEPT, KEPT_CHARS = 100_000, 64  # spellings that a worker keeps, and the longest word among them
+KEPT, KEPT_CHARS = 300_000, 64  # spellings that a worker keeps, and the longest word among them
 REACH, WIDTH = 2, 16
-BATCH, RATE, ROUNDS = 2048, 0.01, 2
+BATCH, LARGEST, RATE, ROUNDS = 2048, 16384, 0.02, 2  # batches grow while a task learns
 HELD = 32 * BATCH  # positions that a task gathers and shuffles at a time
 CHUNK, FAN = 8192, 64
 OFFSETS = [j for j in range(-REACH, REACH + 1) if j]
@@ -104,10 +105,21 @@ def vocabulary(docs: DataFrame) -> list[bytes]:
 
 
 class _Index(dict):
-    """Entries that spell a word. Spellings of words without an entry of their own are kept up to a bound."""
+    """Entries that spell a word. Spellings of words without an entry of their own are kept up to a bound.
+
+    Texts are spelled many words at a time: a word is a number, its entries are a piece of one array.
+    """
 
     def __init__(self, entries: list[bytes]):
         self.entries = {bytes([i]): 1 + i for i in range(BYTES)} | {e: 1 + BYTES + i for i, e in enumerate(entries)}
+        of_size = [sorted(e for e in self.entries if len(e) == n) for n in range(LONGEST + 1)]
+        self.codes = [np.array([int.from_bytes(e, "big") for e in same], np.int64) for same in of_size]
+        self.places = [np.array([self.entries[e] for e in same], np.int64) for same in of_size]
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.uint16), np.zeros(1, np.int64)
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         text, entries = _spelled(word), self.entries
@@ -124,6 +136,65 @@ class _Index(dict):
             self[word] = tuple(out)
         return tuple(out)
 
+    def _spell(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Entries of the words side by side, and how many each has: the longest that fits at each byte, then jumps from word to word."""
+        texts = [_spelled(w) for w in words]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        until = np.cumsum(sizes)
+        n = int(until[-1])
+        bytes_ = np.frombuffer(b"".join(texts) + bytes(LONGEST), np.uint8).astype(np.int64)
+        left = np.repeat(until, sizes) - np.arange(n)
+        step, entry, code = np.ones(n, np.int64), 1 + bytes_[:n], bytes_[:n]
+        for size in range(2, LONGEST + 1):
+            code = code * 256 + bytes_[size - 1 : size - 1 + n]
+            if len(self.codes[size]):
+                at = np.minimum(np.searchsorted(self.codes[size], code), len(self.codes[size]) - 1)
+                fits = np.flatnonzero((self.codes[size][at] == code) & (left >= size))
+                step[fits], entry[fits] = size, self.places[size][at[fits]]
+        starts = until - sizes
+        own = [(i, e) for i, e in enumerate(map(self.entries.get, texts)) if e is not None]
+        if own:
+            of = np.array(own, np.int64)
+            step[starts[of[:, 0]]], entry[starts[of[:, 0]]] = sizes[of[:, 0]], of[:, 1]
+        taken, at, ends = np.zeros(n, bool), starts, until
+        while len(at):
+            taken[at] = True
+            at = at + step[at]
+            going = at < ends
+            at, ends = at[going], ends[going]
+        return entry[taken].astype(np.uint16), np.add.reduceat(taken, starts, dtype=np.int64)
+
+    def spell(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries of all texts side by side, how many entries each text has, and how many words."""
+        if len(self.numbers) > KEPT:
+            self.forget()
+        rows = list(map(words_of, texts))
+        counts = np.fromiter(map(len, rows), np.int64, len(rows))
+        words = list(chain.from_iterable(rows))
+        new = [w for w in dict.fromkeys(words) if w not in self.numbers]
+        short = [w for w in new if len(w) <= KEPT_CHARS]
+        long = [w for w in new if len(w) > KEPT_CHARS]
+        parts, ends = [self.ids], [self.ends]
+        if short:
+            ids, sizes = self._spell(short)
+            parts.append(ids)
+            ends.append(ends[-1][-1] + np.cumsum(sizes))
+        for word in long:  # few: stepped through one by one, and forgotten with this call
+            parts.append(np.array(self[word], np.uint16))
+            ends.append(ends[-1][-1:] + len(parts[-1]))
+        self.numbers.update(zip([*short, *long], range(len(self.ends) - 1, len(self.ends) - 1 + len(new)), strict=True))
+        ids, until = np.concatenate(parts), np.concatenate(ends)
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        for word in long:
+            del self.numbers[word]
+        kept = len(until) - len(long)
+        self.ids, self.ends = ids[: until[kept - 1]], until[:kept]
+        sizes = until[numbers + 1] - until[numbers]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        out = ids[np.arange(total[-1]) + np.repeat(until[numbers] - total[:-1], sizes)]
+        words_until = np.cumsum(counts)
+        return out, total[words_until] - total[words_until - counts], counts
+
 
 def index_of(entries: list[bytes]) -> _Index:
     return _Index(entries)
@@ -147,28 +218,56 @@ def shaped(vector: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _logits(weight: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """(outcomes, positions), the largest of each position 0."""
+    z = weight.T @ h
+    z += bias[:, None]
+    z -= z.max(axis=0)
+    return z
+
+
+def _softmax(weight: np.ndarray, bias: np.ndarray, h: np.ndarray) -> np.ndarray:
+    z = _logits(weight, bias, h)
+    np.exp(z, out=z)
+    z /= z.sum(axis=0)
+    return z
+
+
+def _log_of(weight: np.ndarray, bias: np.ndarray, h: np.ndarray, outcome: np.ndarray) -> np.ndarray:
+    """Log-probability of one outcome at each position."""
+    z = _logits(weight, bias, h)
+    own = z[outcome, np.arange(len(outcome))].astype(np.float64)
+    return own - np.log(np.exp(z, out=z).sum(axis=0))
 
 
 def hidden(params, around: np.ndarray) -> np.ndarray:
-    h = params[1] + params[0][0][around[0]]
+    """(WIDTH, positions): columns side by side, so that every step runs along the positions."""
+    h = params[1] + np.take(params[0][0], around[0], axis=0)
     for j in range(1, len(OFFSETS)):
-        h += params[0][j][around[j]]
-    return np.tanh(h)
+        h += np.take(params[0][j], around[j], axis=0)
+    h = np.ascontiguousarray(h.T)
+    return np.tanh(h, out=h)
+
+
+def _by_class(around: np.ndarray, target: np.ndarray):
+    """The positions sorted by the class of their target, their order, and where each class begins."""
+    order = np.argsort((target // CLASSES).astype(np.uint8), kind="stable")
+    target = target[order]
+    group, place = target // CLASSES, target % CLASSES
+    return order, np.take(around, order, axis=1), group, place, np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
 
 
 def predict(params, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Log-probability of each target between its neighbours."""
-    h, group, place = hidden(params, around), target // CLASSES, target % CLASSES
-    out = _log_softmax(h @ params[2] + params[4])[np.arange(len(target)), group].astype(np.float64)
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    order, around, group, place, ends = _by_class(around, target)
+    h = hidden(params, around)
+    found = _log_of(params[2], params[4], h, group)
     for c in range(CLASSES):
-        rows = order[ends[c] : ends[c + 1]]
-        if len(rows):
-            out[rows] += _log_softmax(h[rows] @ params[3][c] + params[5][c])[np.arange(len(rows)), place[rows]]
+        rows = slice(ends[c], ends[c + 1])
+        if ends[c] < ends[c + 1]:
+            found[rows] += _log_of(params[3][c], params[5][c], h[:, rows], place[rows])
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -183,29 +282,28 @@ def positions(n: int) -> list[np.ndarray]:
 
 
 def gradient(params, around: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
-    h, group, place = hidden(params, around), target // CLASSES, target % CLASSES
-    n = len(target)
-    grads = [np.zeros_like(p) for p in params]
-    d = np.exp(_log_softmax(h @ params[2] + params[4]))
-    d[np.arange(n), group] -= 1
-    d /= n
-    grads[2], grads[4] = h.T @ d, d.sum(axis=0)
-    dh = d @ params[2].T
-    order = np.argsort(group, kind="stable")
-    ends = np.searchsorted(group[order], np.arange(CLASSES + 1))
+    _, around, group, place, ends = _by_class(around, target)
+    h, n = hidden(params, around), len(target)
+    every, grads = np.arange(n), [np.zeros_like(p) for p in params]
+    d = _softmax(params[2], params[4], h)
+    d[group, every] -= 1
+    grads[2], grads[4] = h @ d.T, d.sum(axis=1)
+    dh = params[2] @ d
     for c in range(CLASSES):
-        rows = order[ends[c] : ends[c + 1]]
-        if len(rows):
-            e = np.exp(_log_softmax(h[rows] @ params[3][c] + params[5][c]))
-            e[np.arange(len(rows)), place[rows]] -= 1
-            e /= n
-            grads[3][c], grads[5][c] = h[rows].T @ e, e.sum(axis=0)
-            dh[rows] += e @ params[3][c].T
+        rows = slice(ends[c], ends[c + 1])
+        if ends[c] < ends[c + 1]:
+            own = h[:, rows]
+            e = _softmax(params[3][c], params[5][c], own)
+            e[place[rows], every[: own.shape[1]]] -= 1
+            grads[3][c], grads[5][c] = own @ e.T, e.sum(axis=1)
+            dh[:, rows] += params[3][c] @ e
     dh *= 1 - h * h
-    grads[1] = dh.sum(axis=0)
-    at = (around + SIZE * np.arange(len(OFFSETS))[:, None])[:, :, None] * WIDTH + np.arange(WIDTH)
-    sums = np.bincount(at.ravel(), np.broadcast_to(dh, at.shape).ravel(), minlength=grads[0].size)
-    grads[0] = sums.astype(np.float32).reshape(SHAPES[0])
+    grads[1] = dh.sum(axis=1)
+    at = (around + SIZE * np.arange(len(OFFSETS))[:, None]).ravel()
+    sums = [np.bincount(at, np.tile(row, len(OFFSETS)), len(OFFSETS) * SIZE) for row in dh.astype(np.float64)]
+    grads[0] = np.stack(sums, axis=1).astype(np.float32).reshape(SHAPES[0])
+    for g in grads:
+        g /= n
     return grads
 
 
@@ -222,21 +320,26 @@ def _trainer(shared):
             nonlocal held
             around, target = np.concatenate(held_around, axis=1), np.concatenate(held_target)
             order = np.random.default_rng(len(target)).permutation(len(target))
-            for i in range(0, len(order), BATCH):
-                some = order[i : i + BATCH]
-                for p, g, s in zip(params, gradient(params, around[:, some], target[some]), squares, strict=True):
-                    s += 0.01 * (g * g - s)
-                    p -= RATE * g / (np.sqrt(s) + 1e-6)
+            size = min(LARGEST, BATCH * max(1, seen // HELD))
+            for i in range(0, len(order), size):
+                some = order[i : i + size]
+                for p, g, s in zip(params, gradient(params, np.take(around, some, axis=1), target[some]), squares, strict=True):
+                    s *= 0.99
+                    s += 0.01 * np.square(g)
+                    g /= np.sqrt(s) + 1e-6
+                    g *= RATE
+                    p -= g
             held_around.clear()
             held_target.clear()
             held = 0
 
         for batch in batches:
-            for text in whole(batch["text"]):
-                ids = _padded(text, index)
-                for at in positions(len(ids) - 2 * REACH):
-                    held_around.append(windows(ids, at))
-                    held_target.append(ids[at + REACH])
+            for texts in blocks(whole(batch["text"])):
+                joined, own, _, _ = _joined(texts, index)
+                for some in positions(len(own)):
+                    at = own[some]
+                    held_around.append(windows(joined, at))
+                    held_target.append(joined[at + REACH])
                     held += len(at)
                     seen += len(at)
                     if held >= HELD:
@@ -259,9 +362,13 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
     return one
 
 
-def _padded(text: str, index: _Index) -> np.ndarray:
-    ids = np.fromiter(chain.from_iterable(map(index.__getitem__, words_of(text))), np.int64)
-    return np.concatenate([np.full(REACH, PAD), ids, np.full(REACH, PAD)])
+def _joined(texts: list[str], index: _Index) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Padded entries of all texts side by side, the positions among them, and how many entries and words each text has."""
+    ids, sizes, words = index.spell(texts)
+    at = np.arange(len(ids)) + np.repeat(2 * REACH * np.arange(len(sizes)), sizes)
+    joined = np.full(len(ids) + 2 * REACH * len(sizes), PAD, np.int64)
+    joined[at + REACH] = ids
+    return joined, at, sizes, words
 
 
 def train(docs: DataFrame, entries: list[bytes]) -> list[np.ndarray]:
@@ -277,17 +384,13 @@ def train(docs: DataFrame, entries: list[bytes]) -> list[np.ndarray]:
 
 
 def score_texts(texts: list[str], params, index: _Index) -> list[tuple[int, float]]:
-    ids = [_padded(t, index) for t in texts]
-    sizes = np.array([len(i) - 2 * REACH for i in ids])
-    joined = np.concatenate(ids)
-    at = np.arange(sizes.sum()) + np.repeat(2 * REACH * np.arange(len(sizes)), sizes)
+    joined, at, sizes, words = _joined(texts, index)
     logs = np.zeros(len(at))
-    for i in range(0, len(at), 65536):
-        part = at[i : i + 65536]
-        logs[i : i + 65536] = predict(params, windows(joined, part), joined[part + REACH])
+    for some in positions(len(at)):
+        logs[some] = predict(params, windows(joined, at[some]), joined[at[some] + REACH])
     until = np.concatenate([[0.0], np.cumsum(logs)])
     ends = np.cumsum(sizes)
-    return list(zip([len(words_of(t)) for t in texts], (until[ends] - until[ends - sizes]).tolist(), strict=True))
+    return list(zip(words.tolist(), (until[ends] - until[ends - sizes]).tolist(), strict=True))
 
 
 def scored(docs: DataFrame, text: str = "text", output: str = "lm") -> DataFrame:
@@ -296,11 +399,12 @@ def scored(docs: DataFrame, text: str = "text", output: str = "lm") -> DataFrame
     entries = vocabulary(corpus)
     shared = docs.sparkSession.sparkContext.broadcast((entries, train(corpus, entries)))
 
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         entries, params = shared.value
         index = index_of(entries)
-        rows = [r for block in blocks(whole(texts)) for r in score_texts(block, params, index)]
-        return pd.DataFrame(rows, columns=["n_tokens", "log_prob"])
+        for texts in batches:
+            rows = [r for block in blocks(whole(texts)) for r in score_texts(block, params, index)]
+            yield pd.DataFrame(rows, columns=["n_tokens", "log_prob"])
 
     return docs.withColumn(output, F.pandas_udf(run, "struct<n_tokens:long,log_prob:double>")(F.col(text)))
 

@@ -184,3 +184,30 @@ def test_language_model_trains_on_every_position(spark, monkeypatch):
     assert trained == sum(len(index[w]) for (text,) in rows for w in language_model.words_of(text or ""))
     monkeypatch.setattr(language_model, "HELD", 4)
     assert [list(x) for x in language_model.positions(6)] == [[0, 1, 2, 3], [4, 5]]
+
+
+def test_language_model_spells_many_words_like_one(monkeypatch):
+    """Texts spelled together have the entries of their words, also when kept spellings are given up between calls."""
+    rng = random.Random(11)
+    entries = [b" the", b" th", b"he", b"ther", b"\xc3\xa9", b" a", b"xyz", b" " + b"long" * 20, b"lon"]
+    index, plain = language_model.index_of(entries), language_model.index_of(entries)
+    monkeypatch.setattr(language_model, "KEPT", 5)
+    words = ["the", "then", "ther", "a", "é", "aé", "xyzxyz", "long" * 20, "long" * 21, "q" * 300, "\ud800x"]
+    for _ in range(4):
+        texts = ["", *("  ".join(rng.choices(words, k=rng.randrange(9))) for _ in range(6)), " \n"]
+        ids, sizes, counts = index.spell(texts)
+        want = [[e for w in language_model.words_of(t) for e in plain[w]] for t in texts]
+        assert ids.tolist() == [e for row in want for e in row]
+        assert sizes.tolist() == list(map(len, want))
+        assert counts.tolist() == [len(language_model.words_of(t)) for t in texts]
+        words += ["".join(rng.choices("aethrxyzlon", k=rng.randrange(1, 9))) for _ in range(5)]
+    assert index.spell([""])[0].size == 0
+
+
+def test_language_model_scores_do_not_depend_on_neighbouring_texts():
+    index, params = language_model.index_of([b" the", b"he"]), language_model.fresh()
+    texts = ["the thread", "", "he the q the", "z" * 200]
+    together = language_model.score_texts(texts, params, index)
+    assert [n for n, _ in together] == [2, 0, 4, 1]
+    for text, (_, log_prob) in zip(texts, together, strict=True):
+        assert language_model.score_texts([text], params, index)[0][1] == pytest.approx(log_prob, abs=1e-4)
