@@ -22,8 +22,13 @@ are not read; ties of cuts go to the shorter first part; very long texts are num
 
 from __future__ import annotations
 
+from array import array
+from itertools import chain
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +45,7 @@ CONTAINER_ENTRIES = 4_096
 TASK_WORDS = 1_500_000  # distinct words of a task before its numbers start anew
 SLICE = 2_000_000
 RUN_ROWS = 50_000
+LOT = 400_000  # entries that leave a trie at a time
 EXACT = 16  # bytes of a word that its first and last eight bytes and its length determine
 # Bytes that end a piece, and bytes between words.
 ENDS, GAPS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
@@ -135,31 +141,35 @@ class Words:
     """The numbered (language, word) pairs of a task, with their hashes. Number 0 is the end of a piece.
 
     With a filter only the words that it lets through get a number; all others are 0 as well, because no
-    counted phrase holds them.
+    counted phrase holds them. Without one nothing asks for hashes, and there are none.
     """
 
     def __init__(self, filled: np.ndarray | None = None):
         self.filled = filled
         self.numbers: dict[str, dict[bytes, int]] = {}
-        self.languages, self.text, self.hashes = [""], [""], [0]
+        self.languages, self.text, self.hashes = [""], [""], array("Q", [0])
 
     def of(self, language: str, words: list[bytes]) -> np.ndarray:
         known = self.numbers.setdefault(language, {})
         found = list(map(known.get, words))
         new = [i for i, n in enumerate(found) if n is None]
-        seed = xxhash.xxh32_intdigest(language)
-        hashes = [xxhash.xxh64_intdigest(words[i], seed) for i in new]
-        passes = bloom.may_hold(self.filled, phrase_hash([np.array(hashes, np.uint64)])) if self.filled is not None else np.ones(len(new), bool)
-        for i, h, good in zip(new, hashes, passes.tolist(), strict=True):
-            if not good:
+        if self.filled is not None:
+            seed = xxhash.xxh32_intdigest(language)
+            hashes = np.array([xxhash.xxh64_intdigest(words[i], seed) for i in new], np.uint64)
+            passes = bloom.may_hold(self.filled, phrase_hash([hashes]))
+            for i in np.array(new, np.int64)[~passes].tolist():
                 found[i] = 0
-            elif words[i] in known:  # twice in this list
-                found[i] = known[words[i]]
-            else:
-                found[i] = known[words[i]] = len(self.text)
-                self.languages.append(language)
-                self.text.append(words[i].decode("utf-8", "replace"))
-                self.hashes.append(h)
+            new, hashes = np.array(new, np.int64)[passes].tolist(), hashes[passes].tolist()
+        for place, i in enumerate(new):
+            word = words[i]
+            if word in known:  # twice in this list
+                found[i] = known[word]
+                continue
+            found[i] = known[word] = len(self.text)
+            self.languages.append(language)
+            self.text.append(word.decode("utf-8", "replace"))
+            if self.filled is not None:
+                self.hashes.append(hashes[place])
         return np.array(found, np.int64)
 
     def _of_slice(self, language: str, data: bytes) -> np.ndarray:
@@ -230,9 +240,10 @@ def _level(ids: np.ndarray, table: Words, lengths: range, frequent: np.ndarray):
     """(sequences as an array, counts) for each length; only sequences whose words and pairs pass the filter."""
     if lengths.start == 2:
         at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
-        _, first, counts = _pack(ids[at], ids[at + 1])
-        at = at[first]
-        yield np.stack([ids[at], ids[at + 1]], 1), counts
+        pairs = np.sort(ids[at] << np.int64(32) | ids[at + 1])
+        first = np.flatnonzero(np.diff(pairs, prepend=-1))
+        counts, pairs = np.diff(first, append=len(pairs)), pairs[first]
+        yield np.stack([pairs >> np.int64(32), pairs & np.int64((1 << 32) - 1)], 1), counts
         return
     words = np.array(table.hashes, np.uint64)
     at = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0))
@@ -258,43 +269,66 @@ RUN = "lang string, part int, phrases string, counts binary"
 WORD_RUN = "lang string, phrase string, n long"
 
 
-def _packed(lang: str, part: int, entries: list[tuple[str, int]]) -> tuple:
-    """A sorted run of one prefix partition; a phrase with the first word of the one before it leaves that word out."""
-    entries.sort()
-    texts, last = [], ""
-    for phrase, _ in entries:
-        first, space, rest = phrase.partition(" ")
-        texts.append(space + rest if first == last else phrase)
-        last = first
-    counts = np.array([n for _, n in entries], "<i8")
-    return lang, part, "\n".join(texts), (counts.astype("<u4") if counts.max() < 1 << 32 else counts).tobytes()
-
-
 def _unpacked(phrases: str, counts: bytes):
     texts, first = phrases.split("\n"), ""
-    for text, n in zip(texts, np.frombuffer(counts, f"<u{len(counts) // len(texts)}").tolist(), strict=True):
+    for i, text in enumerate(texts):
         if text[0] == " ":
-            yield first + text, n
+            texts[i] = first + text
         else:
             first = text[: text.index(" ")]
-            yield text, n
+    return zip(texts, np.frombuffer(counts, f"<u{len(counts) // len(texts)}").tolist(), strict=True)
+
+
+def _packed(table: Words, lang: str, of: int, entries: list[tuple[tuple, int]]):
+    """(lang, part, phrases, counts) of sorted runs; a phrase with the first word of the one before it leaves that word out."""
+    paths, counts = zip(*entries, strict=True)
+    sizes = np.fromiter(map(len, paths), np.int64, len(paths))
+    flat = np.fromiter(chain.from_iterable(paths), np.int64, int(sizes.sum()))
+    hashes = np.array(table.hashes, np.uint64)
+    # Numbers give way to places among the sorted words of these phrases; place 0 is the empty word, which fills the rows up.
+    held = np.zeros(len(table.text), bool)
+    held[flat] = True
+    used = np.flatnonzero(held)
+    words = pa.array(["", *map(table.text.__getitem__, used.tolist())], pa.string())
+    order = pc.array_sort_indices(words)
+    words, places = words.take(order), np.zeros(len(held), np.int64)
+    places[np.insert(used, 0, 0)[order.to_numpy()]] = np.arange(len(words))
+    rows = np.zeros((len(sizes), sizes.max()), np.int64)
+    inside = np.arange(rows.shape[1]) < sizes[:, None]
+    rows[inside] = flat
+    dealt = ((hashes[rows[:, 0]] * np.uint64(31) + hashes[rows[:, 1]]) % np.uint64(of)).astype(np.int64)
+    rows = places[rows]
+    order = np.lexsort([*rows.T[::-1], dealt])
+    rows, dealt, sizes, counts = rows[order], dealt[order], sizes[order], np.array(counts, "<i8")[order]
+    begins = np.diff(dealt, prepend=-1) != 0
+    edge = np.append(np.flatnonzero(begins), len(dealt))
+    rows[np.flatnonzero((np.diff(rows[:, 0], prepend=-1) == 0) & ~begins), 0] = 0
+    parts, at = [], []
+    for k in np.unique(sizes).tolist():
+        at.append(np.flatnonzero(sizes == k))
+        parts.append(pc.binary_join_element_wise(*(words.take(pa.array(rows[at[-1], j])) for j in range(k)), " "))
+    phrases = pa.concat_arrays(parts).take(pa.array(np.argsort(np.concatenate(at))))
+    texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(edge, pa.int32()), phrases), "\n").to_pylist()
+    for part, text, a, b in zip(dealt[edge[:-1]].tolist(), texts, edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+        own = counts[a:b]
+        yield lang, part, text, (own.astype("<u4") if own.max() < 1 << 32 else own).tobytes()
 
 
 def _run(trie: HatTrie, table: Words, firsts: list[int], parts: dict[str, int]):
-    """The subtrees as sorted runs, a row for each prefix partition that they meet; they leave the trie on the way."""
-    text, hashes, held = table.text, table.hashes, {}
+    """The subtrees as sorted runs, a row for each prefix partition that they meet; they leave the trie ``LOT`` entries at a time."""
+    rows, own = [], {}
     for first in firsts:
-        lang, start = table.languages[first], text[first]
-        of, own = parts[lang], hashes[first] * 31
-        for path, n in trie.take(first):
-            entry = (" ".join([start, *map(text.__getitem__, path[1:])]), n)
-            held.setdefault((lang, (own + hashes[path[1]]) % of), []).append(entry)
-    rows = []
-    for (lang, part), entries in held.items():
-        rows.append(_packed(lang, part, entries))
-        if len(rows) == RUN_FRAME:
-            yield pd.DataFrame(rows, columns=["lang", "part", "phrases", "counts"])
-            rows = []
+        own.setdefault(table.languages[first], []).append(first)
+    for lang, numbers in own.items():
+        while numbers:
+            entries: list = []
+            while numbers and len(entries) < LOT:
+                entries += trie.take(numbers.pop())
+            for row in _packed(table, lang, parts[lang], entries):
+                rows.append(row)
+                if len(rows) == RUN_FRAME:
+                    yield pd.DataFrame(rows, columns=["lang", "part", "phrases", "counts"])
+                    rows = []
     if rows:
         yield pd.DataFrame(rows, columns=["lang", "part", "phrases", "counts"])
 
@@ -324,11 +358,10 @@ def _merger(least: int):
 
 
 def _words_run(table: Words, counts: np.ndarray):
-    """Words alone are the first nodes of the trie: a count for each number."""
-    order = sorted(range(1, len(table.text)), key=lambda i: (table.languages[i], table.text[i]))
-    for at in range(0, len(order), RUN_ROWS):
-        part = order[at : at + RUN_ROWS]
-        yield pd.DataFrame({"lang": [table.languages[i] for i in part], "phrase": [table.text[i] for i in part], "n": counts[part]})
+    """Words alone are the first nodes of the trie: a count for each number. They are added up by hash, in any order."""
+    for at in range(1, len(table.text), RUN_ROWS):
+        part = slice(at, at + RUN_ROWS)
+        yield pd.DataFrame({"lang": table.languages[part], "phrase": table.text[part], "n": counts[part]})
 
 
 def _blocks(batches):
@@ -359,10 +392,10 @@ def _phrase_counter(lengths: range, shared, parts: dict[str, int], entries: int,
             for rows, counts in _level(table.ids(lang, texts), table, lengths, shared.value):
                 order = np.argsort(rows[:, 0], kind="stable")
                 rows, counts = rows[order], counts[order].tolist()
-                edge = np.flatnonzero(np.diff(rows[:, 0], prepend=-1, append=-1)).tolist()
+                edge = np.flatnonzero(np.diff(rows[:, 0], prepend=-1, append=-1))
                 rests = list(zip(*rows[:, 1:].T.tolist(), strict=True))
-                for a, b in zip(edge[:-1], edge[1:], strict=True):
-                    trie.add(int(rows[a, 0]), rests[a:b], counts[a:b])
+                for first, a, b in zip(rows[edge[:-1], 0].tolist(), edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                    trie.add(first, rests[a:b], counts[a:b])
             if trie.entries > entries:
                 largest, leaving, kept = trie.largest(), [], trie.entries
                 while kept > entries // 2:

@@ -242,6 +242,31 @@ def test_trie_counts_bursts_and_gives_up_subtrees():
     assert got == dict(want) and trie.entries == 0 and not trie.root
 
 
+@pytest.mark.parametrize("of, lot", [(1, 400_000), (7, 20)])
+def test_runs_hold_each_phrase_once_in_its_partition(monkeypatch, of, lot):
+    monkeypatch.setattr(collocations, "LOT", lot)
+    rng, table, trie, want = random.Random(4), collocations.Words(np.full(1 << 16, 255, np.uint8)), collocations.HatTrie(burst=4), collections.Counter()
+    words = ["a", "ab", "é", "z!", "\x1c", "a" * 40, "ß", "\ue000", "\U0001f600"]
+    numbers = {word: int(table.of("en", [word.encode()])[0]) for word in words}
+    for n in (1, 1 << 33):  # counts of four and of eight bytes
+        for _ in range(200):
+            phrase = rng.choices(words, k=rng.randrange(2, 6))
+            path = tuple(map(numbers.get, phrase))
+            trie.add(path[0], [path[1:]], [n])
+            want[" ".join(phrase)] += n
+    got, part_of = collections.Counter(), {}
+    for frame in collocations._run(trie, table, trie.largest(), {"en": of}):
+        for lang, part, phrases, counts in frame.itertuples(index=False):
+            run = list(collocations._unpacked(phrases, counts))
+            assert lang == "en" and 0 <= part < of
+            assert [p.split(" ") for p, _ in run] == sorted(p.split(" ") for p, _ in run)
+            for phrase, n in run:
+                got[phrase] += n
+                assert part_of.setdefault(tuple(phrase.split(" ")[:2]), part) == part
+    assert got == want and trie.entries == 0
+    assert len(set(part_of.values())) == min(of, 7)
+
+
 def test_words_with_equal_keys_and_long_words_keep_their_numbers(monkeypatch):
     monkeypatch.setattr(bloom, "mixed", lambda x: x & np.uint64(3))  # nearly all words share a key
     monkeypatch.setattr(collocations, "SLICE", 40)
