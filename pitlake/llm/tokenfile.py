@@ -29,7 +29,7 @@ from pitlake.session import work_folder
 
 END = 2
 LANES = 1024
-CACHED = 300_000
+CACHED = 1_000_000  # chunks, about 200 MB
 BLOCK_TYPE = "part long, seq long, n_ids long, payload binary, doc_ids array<long>, ends array<long>"
 
 

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from array import array
+from pathlib import Path
 from types import SimpleNamespace
 
 import numpy as np
@@ -282,6 +283,16 @@ def test_token_files_hold_documents_in_id_order(spark, odd, monkeypatch):
     assert len(rows) == len(ODD) and tokenfile.report(docs.limit(0), BYTE).count() == 0
 
 
+def test_chunks_stay_known_while_there_is_room():
+    own = tokenfile.library_ids(Path(vocabulary.public_path(vocabulary.BYTE_BPE)).read_text("utf-8"))
+    kept = {f"\0{i}": b"" for i in range(400_000)}
+    own.known.update(kept)
+    first = own.encode(["some words, some words"])
+    assert "\x000" in own.known
+    own.known.update((f"\0{i}", b"") for i in range(tokenfile.CACHED + 1))
+    assert own.encode(["some words, some words"]) == first and "\x000" not in own.known
+
+
 def test_public_vocabulary_is_the_same_alphabet():
     assert base64.b64encode(bytes(vocabulary.byte_alphabet())) == base64.b64encode(bytes(sorted(range(256), key=lambda b: list(vocabulary.byte_alphabet()).index(b))))
     assert len(set(vocabulary.byte_alphabet().values())) == 256
