@@ -5,7 +5,7 @@ checksum) with the ids and ends of the documents that end in them. Rows are numb
 Spark's commit protocol makes a lost executor's half-written file disappear.
 
 Texts are range-partitioned by id and sorted before anything is encoded, so no token crosses the
-network; a task holds at most ``LANES`` blocks of ids. Only one token total per part comes to the driver.
+network; a task holds about one block of ids. Only one token total per part comes to the driver.
 
 Defined results: null and empty texts give the end id alone; rows without an id come first; rows
 that repeat an id keep their own entries, next to each other.
@@ -13,8 +13,10 @@ that repeat an id keep their own entries, next to each other.
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -28,36 +30,75 @@ from pitlake.llm.common import blocks, whole
 from pitlake.session import work_folder
 
 END = 2
-LANES = 1024
-CACHED = 1_000_000  # chunks, about 200 MB
+CACHED = 1_000_000  # words, about 200 MB
+ASKED = 1_000  # parts that the library gets at a time
+LATER = "\u0250"  # below, no version of Unicode changes what is a letter, a number or white space
 BLOCK_TYPE = "part long, seq long, n_ids long, payload binary, doc_ids array<long>, ends array<long>"
 
 
 class LibraryIds:
-    """Ids as the tokenizers library gives them; it is asked once for each chunk that texts repeat.
+    """Ids as the tokenizers library gives them; it is asked once for each word that texts repeat.
 
-    Chunks are cut where a pre-token must begin, so their ids side by side are those of the text.
+    Texts are cut where a pre-token must begin, so the ids of the parts side by side are those of the text.
     """
 
     def __init__(self, content: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.vocab = vocabulary.parsed(content)
         self.library = Tokenizer.from_str(content)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.model = self.library.model
+        self.known: dict[str, bytes] = {}  # of the words that follow one space, with that space
+        self.inner: dict[str, bytes] = {}  # of pre-tokens inside words
+
+    def _ask(self, parts: list[str]):
+        for i in range(0, len(parts), ASKED):
+            for found in self.library.encode_batch_fast(parts[i : i + ASKED], add_special_tokens=False):
+                yield array("H", found.ids).tobytes()
+
+    def _merged(self, pretoken: str) -> bytes:
+        """What the library's model makes of one pre-token; the library need not look for it."""
+        if pretoken[0] == " " and pretoken.isascii() and pretoken[1:].isalpha():
+            symbols = self.vocab.alphabet[ord(" ")] + pretoken[1:]  # letters of ASCII stand for themselves
+        else:
+            symbols = "".join(map(self.vocab.alphabet.__getitem__, pretoken.encode()))
+        return array("H", [t.id for t in self.model.tokenize(symbols)]).tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words. Where all versions of Unicode agree on their pre-tokens, each of those is merged once."""
+        known, inner, others = self.known, self.inner, []
+        for word in words:
+            if not word.isascii() and max(word) >= LATER:
+                others.append(word)
+                continue
+            ids = []
+            for part in self.vocab.words(" " + word):
+                store, name = (known, part[1:]) if part[0] == " " else (inner, part)
+                if name not in store:
+                    store[name] = self._merged(part)
+                ids.append(store[name])
+            if word not in known:
+                known[word] = b"".join(ids)
+        known.update(zip(others, self._ask([" " + w for w in others]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        rows, new = [], set()
+        rows, new, others = [], set(), set()
         if len(self.known) > CACHED:
             self.known.clear()
+            self.inner.clear()
         for text in texts:
-            chunks = [c for piece, special in self.vocab.pieces(text) for c in ([piece] if special is not None else self.vocab.chunks(piece))]
-            rows.append(chunks)
-            new.update(chunks)
-        missing = list(new.difference(self.known))
-        for chunk, found in zip(missing, self.library.encode_batch(missing, add_special_tokens=False), strict=True):
-            self.known[chunk] = np.array(found.ids, np.uint16).tobytes()
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in rows]
+            row = []
+            for piece, special in self.vocab.pieces(text):
+                first, *words = self.vocab.spaced(piece) if special is None else [piece]
+                others.add(first)
+                new.update(words)
+                row.append((first, words))
+            rows.append(row)
+        self._learn([w for w in new if w not in self.known])
+        other = dict(zip(others, self._ask(list(others)), strict=True))
+        known = self.known.__getitem__
+        return [b"".join([b"".join((other[first], *map(known, words))) for first, words in row]) for row in rows]
 
 
 @lru_cache(maxsize=2)
@@ -84,7 +125,7 @@ class _Stream:
         n = self.size if last else self.size - self.size % rangecoder.BLOCK
         held = np.concatenate([*self.ids, np.empty(0, np.uint16)])
         parts = [held[i : min(i + rangecoder.BLOCK, n)] for i in range(0, n, rangecoder.BLOCK)]
-        payloads = [p for i in range(0, len(parts), LANES) for p in rangecoder.encode_blocks(parts[i : i + LANES])]
+        payloads = rangecoder.encode_blocks(parts)
         # A document ends in the block that holds its last id.
         done = int(np.searchsorted(self.ends, n, side="right"))
         of = (np.array(self.ends[:done], np.int64) - 1) // rangecoder.BLOCK
@@ -112,7 +153,7 @@ def _encoder(shared):
                     doc_id = batch["doc_id"].iloc[at]
                     stream.add(None if pd.isna(doc_id) else int(doc_id), np.append(np.frombuffer(ids, np.uint16), np.uint16(END)))
                     at += 1
-                while stream.size >= LANES * rangecoder.BLOCK:
+                if stream.size >= rangecoder.BLOCK:
                     yield stream.coded(last=False)
         if stream.size:
             yield stream.coded(last=True)
@@ -132,19 +173,17 @@ def _decode(batches):
     """(part, doc_id, ids before it in the part, its ids, their CRC) of blocks in order."""
     part, before, begun, crc = None, 0, 0, 0
     for batch in batches:
-        for at in range(0, len(batch), LANES):
-            some = batch.iloc[at : at + LANES]
-            out = []
-            for row, ids in zip(some.itertuples(), rangecoder.decode_blocks(list(some["payload"])), strict=True):
-                if row.part != part:
-                    part, before, begun, crc = row.part, 0, 0, 0
-                data, start = ids.astype("<u4").tobytes(), 0
-                for doc_id, end in zip(row.doc_ids, row.ends, strict=True):
-                    crc = zlib.crc32(data[4 * start : 4 * end], crc)
-                    out.append((part, doc_id, begun, before + end - begun, crc))
-                    begun, start, crc = before + end, int(end), 0
-                crc = zlib.crc32(data[4 * start :], crc)
-                before += len(ids)
+        for row in batch.itertuples():
+            if row.part != part:
+                part, before, begun, crc = row.part, 0, 0, 0
+            (ids,) = rangecoder.decode_blocks([row.payload])
+            data, start, out = ids.astype("<u4").tobytes(), 0, []
+            for doc_id, end in zip(row.doc_ids, row.ends, strict=True):
+                crc = zlib.crc32(data[4 * start : 4 * end], crc)
+                out.append((part, doc_id, begun, before + end - begun, crc))
+                begun, start, crc = before + end, int(end), 0
+            crc = zlib.crc32(data[4 * start :], crc)
+            before += len(ids)
             yield pd.DataFrame(out, columns=["part", "doc_id", "begin", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
 

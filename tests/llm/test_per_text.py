@@ -322,3 +322,33 @@ def test_a_task_gives_freed_memory_back():
     before = resident()
     give_back()
     assert resident() < before - (64 << 20) and len(kept) == 9
+
+
+def test_words_have_the_ids_of_their_text():
+    """New words are merged once for each pre-token; their text as a whole has the same ids."""
+    library, own = Tokenizer.from_file(BYTE), tokenfile.library_ids(Path(BYTE).read_text("utf-8"))
+    rng, inside = np.random.default_rng(5), ["a", "Za", "é", "Ü", "\n", "\r", "'s", "'", "12", "²", "ª", "...", "&&", "\x00", "\x85", "\xa0", "Ā", "ɐ", "漢", "­"]
+    texts = [" ".join("".join(rng.choice(inside, rng.integers(1, 5))) for _ in range(30)) for _ in range(400)]
+    texts += ["", " ", "  a", "a ", "x<|endoftext|> y z<|endoftext|>", "q w " * 60_000]
+    for _ in range(2):  # words that are new, then the same ones known
+        got = [np.frombuffer(ids, np.uint16).tolist() for ids in own.encode(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_a_block_learns_from_all_its_lanes():
+    """An id with eight equally likely followers costs little more than three bits."""
+    rng = np.random.default_rng(9)
+    follow = rng.integers(0, 300, (300, 8))
+    ids, at = np.empty(400_000, np.uint16), 0
+    steps = rng.integers(0, 8, len(ids))
+    for i in range(len(ids)):
+        ids[i] = follow[at, steps[i]]
+        at = int(ids[i])
+    (coded,) = rangecoder.encode_blocks([ids])
+    assert np.array_equal(rangecoder.decode_blocks([coded])[0], ids)
+    assert 8 * len(coded) / len(ids) < 4
+    for n in (1, 2, rangecoder.STEPS - 1, rangecoder.STEPS + 1):
+        assert np.array_equal(rangecoder.decode_blocks(rangecoder.encode_blocks([ids[:n]]))[0], ids[:n])
+    for at in range(20, len(coded) // 2, len(coded) // 9):
+        with pytest.raises(ValueError, match="checksum|format"):
+            rangecoder.decode_blocks([coded[:at] + bytes([coded[at] ^ 64]) + coded[at + 1 :]])
