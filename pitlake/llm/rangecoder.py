@@ -24,6 +24,7 @@ import numpy as np
 MAGIC, VERSION, HEADER = b"IDRC", 2, "<4sBBxxIII"  # version, bits of an id; ids, crc, words
 BLOCK = 1 << 20
 STEPS = 512
+LOT = 32  # steps that a writer prepares at a time
 BITS = 16
 IDS = 1 << BITS
 SLOTS = 1 << 16  # of the guesses of order 2
@@ -91,8 +92,8 @@ class _Model:
         place[mixed(self.pairs)] = np.arange(len(self.pairs), dtype=np.int32)
 
         def find(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            at = place[mixed(pair)]
-            known = self.pairs[at] == pair
+            at = place.take(mixed(pair))
+            known = self.pairs.take(at) == pair
             others = np.flatnonzero(~known)  # unknown, or its place is another pair's
             found = np.minimum(np.searchsorted(self.pairs, pair[others]), len(self.pairs) - 1)
             at[others], known[others] = found, self.pairs[found] == pair[others]
@@ -188,36 +189,49 @@ def _write(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out, model = _Writer(lanes, steps), _Model()
     padded = np.concatenate([np.zeros((2, lanes), np.int64), ids])
     for begin, end in _turns(steps):
-        find = model.finder()
-        token, before = padded[begin + 2 : end + 2].ravel(), padded[begin + 1 : end + 1].ravel()
-        slots = _slots(before, padded[begin:end].ravel())
-        kind = model.kind[slots]
-        hit = (model.guess[slots] == token) & (kind > 0)
-        share = model.share[kind]
-        flag_start, flag_size = np.where(hit, 0, share), np.where(hit, share, FLAG - share)
-        miss = np.flatnonzero(~hit)
-        at, known = find((before[miss] << BITS | token[miss]).astype(np.uint32))
-        row = before[miss]
-        start1, size1 = np.where(known, model.begin[at], model.in_row[row]), np.where(known, model.size[at], model.escape[row])
-        total1, lane1 = model.total[row], miss % lanes
-        rare = token[miss[~known]]
-        start0, size0, lane0 = model.until[rare], model.until[rare + 1] - model.until[rare], lane1[~known]
-        cut = np.arange(0, len(token) + 1, lanes)
-        cut1 = np.searchsorted(miss, cut).tolist()
-        cut0 = np.searchsorted(miss[~known], cut).tolist()
-        for t in range(end - begin):
-            now = slice(t * lanes, (t + 1) * lanes)
-            out.narrow(ALL, flag_start[now], flag_size[now], FLAG)
-            now = slice(cut1[t], cut1[t + 1])
-            out.narrow(lane1[now], start1[now], size1[now], total1[now])
-            now = slice(cut0[t], cut0[t + 1])
-            if now.start < now.stop:
-                out.narrow(lane0[now], start0[now], size0[now], model.until[-1])
+        find, done = model.finder(), []
+        for lot in range(begin, end, LOT):
+            until = min(lot + LOT, end)
+            done.append(_write_lot(out, model, find, padded[lot : until + 2]))
         if end < steps:
-            model.learn(before, slots, token, hit)
+            slots, hit = map(np.concatenate, zip(*done, strict=True))
+            model.learn(padded[begin + 1 : end + 1].ravel(), slots, padded[begin + 2 : end + 2].ravel(), hit)
     return out.finish()
 
 
+def _write_lot(out: _Writer, model: _Model, find, padded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code some steps, of which the two before are known, and return their slots and whether the guess was right."""
+    lanes = padded.shape[1]
+    token, before = padded[2:].ravel(), padded[1:-1].ravel()
+    slots = _slots(before, padded[:-2].ravel())
+    kind = model.kind.take(slots)
+    hit = (model.guess.take(slots) == token) & (kind > 0)
+    share = model.share.take(kind)
+    flag_start, flag_size = np.where(hit, 0, share), np.where(hit, share, FLAG - share)
+    miss = np.flatnonzero(~hit)
+    row, wanted = before.take(miss), token.take(miss)
+    at, known = find((row << BITS | wanted).astype(np.uint32))
+    start1 = np.where(known, model.begin.take(at), model.in_row.take(row))
+    size1 = np.where(known, model.size.take(at), model.escape.take(row))
+    total1, lane1 = model.total.take(row), miss % lanes
+    unknown = np.flatnonzero(~known)
+    rare, lane0 = wanted.take(unknown), lane1.take(unknown)
+    start0 = model.until.take(rare)
+    size0 = model.until.take(rare + 1) - start0
+    cut = np.arange(0, len(token) + 1, lanes)
+    cut1 = np.searchsorted(miss, cut).tolist()
+    cut0 = np.searchsorted(miss.take(unknown), cut).tolist()
+    for t in range(len(cut) - 1):
+        now = slice(t * lanes, (t + 1) * lanes)
+        out.narrow(ALL, flag_start[now], flag_size[now], FLAG)
+        now = slice(cut1[t], cut1[t + 1])
+        out.narrow(lane1[now], start1[now], size1[now], total1[now])
+        now = slice(cut0[t], cut0[t + 1])
+        if now.start < now.stop:
+            out.narrow(lane0[now], start0[now], size0[now], model.until[-1])
+    return slots, hit
+
+
 def _read(words: np.ndarray, sizes: np.ndarray, steps: int) -> np.ndarray:
     coder, model, lanes = _Reader(words, sizes), _Model(), len(sizes)
     padded = np.zeros((steps + 2, lanes), np.int64)
@@ -227,16 +241,16 @@ def _read(words: np.ndarray, sizes: np.ndarray, steps: int) -> np.ndarray:
         for t in range(begin, end):
             before = padded[t + 1]
             slot = slots[t - begin] = _slots(before, padded[t])
-            hit = hits[t - begin] = coder.below(model.share[model.kind[slot]])
-            token = model.guess[slot].astype(np.int64)
+            hit = hits[t - begin] = coder.below(model.share.take(model.kind.take(slot)))
+            token = model.guess.take(slot).astype(np.int64)
             miss = np.flatnonzero(~hit)
-            row = before[miss]
-            total, in_row = model.total[row], model.in_row[row]
+            row = before.take(miss)
+            total, in_row = model.total.take(row), model.in_row.take(row)
             target, unit = coder.target(miss, total)
             known = target < in_row
-            place = model.row_starts[row] + target.astype(np.int64)
+            place = model.row_starts.take(row) + target.astype(np.int64)
             at = of_place.take(place, mode="clip")
-            coder.narrow(miss, np.where(known, model.begin[at], in_row), np.where(known, model.size[at], model.escape[row]), unit)
+            coder.narrow(miss, np.where(known, model.begin.take(at), in_row), np.where(known, model.size.take(at), model.escape.take(row)), unit)
             token[miss] = second.take(place, mode="clip")
             rare = miss[~known]
             if len(rare):

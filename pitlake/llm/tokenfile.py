@@ -21,6 +21,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -31,11 +33,23 @@ from pitlake.session import work_folder
 
 END = 2
 CACHED = 1_000_000  # words, about 200 MB
+CHARS = 4_000_000  # of texts that are cut together
 ASKED = 1_000  # parts that the library gets at a time
 LATER = "\u0250"  # below, no version of Unicode changes what is a letter, a number or white space
 BLOCK_TYPE = "part long, seq long, n_ids long, payload binary, doc_ids array<long>, ends array<long>"
 
 
+def _lines_apart(piece: str) -> str:
+    """A piece with a space before each line feed, if no line feed has white space beside it: it then is one pre-token."""
+    apart = "\n" in piece and "\n\n" not in piece and not any(c in piece for c in vocabulary.WHITE_SPACE if c not in " \n")
+    return piece.replace("\n", " \n") if apart else piece
+
+
+def _whole(word: str) -> str:
+    """A word with the space that belongs to it; one from after ``_lines_apart`` begins with its line feed instead."""
+    return word if word[0] == "\n" else " " + word
+
+
 class LibraryIds:
     """Ids as the tokenizers library gives them; it is asked once for each word that texts repeat.
 
@@ -49,7 +63,7 @@ class LibraryIds:
         self.library.no_truncation()
         self.library.no_padding()
         self.model = self.library.model
-        self.known: dict[str, bytes] = {}  # of the words that follow one space, with that space
+        self.known: dict[str, bytes] = {}  # of ``_whole`` words
         self.inner: dict[str, bytes] = {}  # of pre-tokens inside words
 
     def _ask(self, parts: list[str]):
@@ -57,48 +71,60 @@ class LibraryIds:
             for found in self.library.encode_batch_fast(parts[i : i + ASKED], add_special_tokens=False):
                 yield array("H", found.ids).tobytes()
 
-    def _merged(self, pretoken: str) -> bytes:
+    def _merged(self, symbols: str) -> bytes:
         """What the library's model makes of one pre-token; the library need not look for it."""
-        if pretoken[0] == " " and pretoken.isascii() and pretoken[1:].isalpha():
-            symbols = self.vocab.alphabet[ord(" ")] + pretoken[1:]  # letters of ASCII stand for themselves
-        else:
-            symbols = "".join(map(self.vocab.alphabet.__getitem__, pretoken.encode()))
         return array("H", [t.id for t in self.model.tokenize(symbols)]).tobytes()
 
     def _learn(self, words: list[str]) -> None:
         """Ids of new words. Where all versions of Unicode agree on their pre-tokens, each of those is merged once."""
-        known, inner, others = self.known, self.inner, []
+        known, inner, others, symbols = self.known, self.inner, [], self.vocab.alphabet
+        space = symbols[ord(" ")]
         for word in words:
-            if not word.isascii() and max(word) >= LATER:
+            ascii_ = word.isascii()
+            if not ascii_ and max(word) >= LATER:
                 others.append(word)
                 continue
+            if word.isalpha():  # letters of ASCII stand for themselves
+                known[word] = self._merged(space + (word if ascii_ else "".join(map(symbols.__getitem__, word.encode()))))
+                continue
             ids = []
-            for part in self.vocab.words(" " + word):
+            for part in self.vocab.words(_whole(word)):
                 store, name = (known, part[1:]) if part[0] == " " else (inner, part)
                 if name not in store:
-                    store[name] = self._merged(part)
+                    store[name] = self._merged("".join(map(symbols.__getitem__, part.encode())))
                 ids.append(store[name])
-            if word not in known:
-                known[word] = b"".join(ids)
-        known.update(zip(others, self._ask([" " + w for w in others]), strict=True))
+            known[word] = b"".join(ids)
+        known.update(zip(others, self._ask(list(map(_whole, others))), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        rows, new, others = [], set(), set()
         if len(self.known) > CACHED:
             self.known.clear()
             self.inner.clear()
-        for text in texts:
-            row = []
+        pieces, of = [], []  # parts without an uneven gap or a special string inside, or whole parts that have one
+        for i, text in enumerate(texts):
             for piece, special in self.vocab.pieces(text):
-                first, *words = self.vocab.spaced(piece) if special is None else [piece]
-                others.add(first)
-                new.update(words)
-                row.append((first, words))
-            rows.append(row)
-        self._learn([w for w in new if w not in self.known])
-        other = dict(zip(others, self._ask(list(others)), strict=True))
-        known = self.known.__getitem__
-        return [b"".join([b"".join((other[first], *map(known, words))) for first, words in row]) for row in rows]
+                pieces.append((piece, special is None and not vocabulary.uneven(piece)))
+                of.append(i)
+        pieces = [(_lines_apart(p) if even else p, even) for p, even in pieces]
+        cut = pc.split_pattern(pa.array([p if even else "" for p, even in pieces], pa.large_string()), " ")
+        begin = cut.offsets.to_numpy()
+        coded = cut.values.dictionary_encode()
+        number, words = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # What begins a piece follows no space, so it has a number of its own.
+        first = [p.partition(" ")[0] if even else p for p, even in pieces]
+        others = {p: len(words) + i for i, p in enumerate(dict.fromkeys(first))}
+        number[begin[:-1]] = [others[p] for p in first]
+        used = np.bincount(number, minlength=len(words)) > 0
+        asked = [w if u else "" for w, u in zip(words, used.tolist(), strict=False)]
+        self._learn([w for w in asked if w and w not in self.known])
+        ids = [self.known[w] if w else b"" for w in asked] + list(self._ask(list(others)))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        held, starts = np.frombuffer(b"".join(ids), np.uint16), np.cumsum(sizes) - sizes
+        each = sizes[number]
+        until = np.concatenate([[0], np.cumsum(each)])
+        out = held[np.repeat(starts[number] - until[:-1], each) + np.arange(until[-1])]
+        cuts = until[begin[np.searchsorted(of, np.arange(len(texts) + 1))]].tolist()
+        return [out[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -148,7 +174,7 @@ def _encoder(shared):
         own, stream = library_ids(shared.value), _Stream(TaskContext.get().partitionId())
         for batch in batches:
             at = 0
-            for texts in blocks(whole(batch["text"])):
+            for texts in blocks(whole(batch["text"]), CHARS):
                 for ids in own.encode(texts):
                     doc_id = batch["doc_id"].iloc[at]
                     stream.add(None if pd.isna(doc_id) else int(doc_id), np.append(np.frombuffer(ids, np.uint16), np.uint16(END)))

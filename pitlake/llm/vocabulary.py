@@ -80,17 +80,12 @@ class Vocabulary:
             piece = piece.lower()
             # str.split also parts at four control characters that are not white space here.
             return [piece] if _CONTROLS.search(piece) else piece.split()
-        first, *rest = self.spaced(piece)
+        # Between two other characters one space starts a new pre-token; any other gap may not.
+        if uneven(piece):
+            return [piece]
+        first, *rest = piece.split(" ")
         return [first, *[" " + x for x in rest]]
 
-    @staticmethod
-    def spaced(piece: str) -> list[str]:
-        """The parts of a piece between its spaces, where each space starts a new pre-token; else the whole piece.
-
-        Between two other characters one space does; any other gap may not.
-        """
-        return [piece] if _uneven(piece) else piece.split(" ")
-
     def pretokens(self, piece: str) -> list[str]:
         return [w for chunk in self.chunks(piece) for w in self.words(chunk)]
 
@@ -106,12 +101,12 @@ class Vocabulary:
 
 _MARKS = frozenset(".,;:!?")
 _CONTROLS = re.compile("[\x1c-\x1f]")
-_WHITE = [c for c in map(chr, range(1 << 16)) if c.isspace()]
+WHITE_SPACE = [c for c in map(chr, range(1 << 16)) if c.isspace()]
 
 
-def _uneven(piece: str) -> bool:
+def uneven(piece: str) -> bool:
     """Is a space at an end or beside other white space? Searching for each character is faster than a pattern."""
-    return piece[:1] == " " or piece[-1:] == " " or any(c in piece and (c + " " in piece or " " + c in piece) for c in _WHITE)
+    return piece[:1] == " " or piece[-1:] == " " or any(c in piece and (c + " " in piece or " " + c in piece) for c in WHITE_SPACE)
 
 
 _GAP = regex.compile(r"(?<=[^\p{White_Space}])\p{White_Space}")

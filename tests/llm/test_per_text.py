@@ -329,6 +329,8 @@ def test_words_have_the_ids_of_their_text():
     library, own = Tokenizer.from_file(BYTE), tokenfile.library_ids(Path(BYTE).read_text("utf-8"))
     rng, inside = np.random.default_rng(5), ["a", "Za", "é", "Ü", "\n", "\r", "'s", "'", "12", "²", "ª", "...", "&&", "\x00", "\x85", "\xa0", "Ā", "ɐ", "漢", "­"]
     texts = [" ".join("".join(rng.choice(inside, rng.integers(1, 5))) for _ in range(30)) for _ in range(400)]
+    texts += [t.replace("  ", " ").replace(" a", "\n") for t in texts]
+    texts += ["a\nb", "\nb", "b\n", "a\n\nb c", "a\n's b", "a b\r\nc d", "a\nb\tc d", "a\n&&\nb"]
     texts += ["", " ", "  a", "a ", "x<|endoftext|> y z<|endoftext|>", "q w " * 60_000]
     for _ in range(2):  # words that are new, then the same ones known
         got = [np.frombuffer(ids, np.uint16).tolist() for ids in own.encode(texts)]
