@@ -312,7 +312,7 @@ def _trainer(shared):
         from pyspark import TaskContext
 
         entries, start = shared.value
-        index, params, seen = index_of(entries), [p.copy() for p in start], 0
+        params, seen = [p.copy() for p in start], 0
         squares = [np.full_like(p, 1e-8) for p in params]
         held_around, held_target, held = [], [], 0
 
@@ -334,8 +334,7 @@ def _trainer(shared):
             held = 0
 
         for batch in batches:
-            for texts in blocks(whole(batch["text"])):
-                joined, own, _, _ = _joined(texts, index)
+            for joined, own, _ in _sequences(batch, entries):
                 for some in positions(len(own)):
                     at = own[some]
                     held_around.append(windows(joined, at))
@@ -362,20 +361,50 @@ def _mean(rows: pd.DataFrame) -> pd.DataFrame:
     return one
 
 
-def _joined(texts: list[str], index: _Index) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Padded entries of all texts side by side, the positions among them, and how many entries and words each text has."""
-    ids, sizes, words = index.spell(texts)
+def _joined(ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Padded entries of texts side by side and the positions among them, from all entries and how many each text has."""
     at = np.arange(len(ids)) + np.repeat(2 * REACH * np.arange(len(sizes)), sizes)
     joined = np.full(len(ids) + 2 * REACH * len(sizes), PAD, np.int64)
     joined[at + REACH] = ids
-    return joined, at, sizes, words
+    return joined, at
+
+
+def _sequences(batch: pd.DataFrame, entries: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Padded entries, positions and sizes of runs of texts, which come as ``pieces`` or still as ``text``."""
+    if "pieces" in batch:
+        for some in blocks(list(batch["pieces"])):
+            sizes = np.fromiter(map(len, some), np.int64, len(some)) // 2
+            yield *_joined(np.frombuffer(b"".join(some), "<u2"), sizes), sizes
+    else:
+        index = index_of(entries)
+        for texts in blocks(whole(batch["text"])):
+            ids, sizes, _ = index.spell(texts)
+            yield *_joined(ids, sizes), sizes
+
+
+def spelled(docs: DataFrame, entries: list[bytes], text: str, output: str) -> DataFrame:
+    """``docs`` with its word count and its entries as 16-bit numbers."""
+    shared = docs.sparkSession.sparkContext.broadcast(entries)
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        index = index_of(shared.value)
+        for texts in batches:
+            rows = []
+            for block in blocks(whole(texts)):
+                ids, sizes, words = index.spell(block)
+                ids, until = ids.astype("<u2", copy=False), np.cumsum(sizes).tolist()
+                rows += [(n, ids[a:b].tobytes()) for n, a, b in zip(words.tolist(), [0, *until], until, strict=False)]
+            yield pd.DataFrame(rows, columns=["n_tokens", "pieces"])
+
+    return docs.withColumn(output, F.pandas_udf(run, "struct<n_tokens:long,pieces:binary>")(F.col(text)))
 
 
 def train(docs: DataFrame, entries: list[bytes]) -> list[np.ndarray]:
+    """The network after all rounds over ``docs``, whose only column is ``pieces`` or ``text``."""
     context, params = docs.sparkSession.sparkContext, fresh()
     kind = "chunk int, part int, weight double, vector array<float>"
     for _ in range(ROUNDS):
-        copies = docs.select("text").mapInPandas(_trainer(context.broadcast((entries, params))), kind)
+        copies = docs.mapInPandas(_trainer(context.broadcast((entries, params))), kind)
         partial = copies.withColumn("part", F.pmod("part", F.lit(FAN))).groupBy("chunk", "part").applyInPandas(_mean, kind)
         found = partial.groupBy("chunk").applyInPandas(_mean, kind).orderBy("chunk").collect()
         if found:
@@ -383,35 +412,43 @@ def train(docs: DataFrame, entries: list[bytes]) -> list[np.ndarray]:
     return params
 
 
-def score_texts(texts: list[str], params, index: _Index) -> list[tuple[int, float]]:
-    joined, at, sizes, words = _joined(texts, index)
+def _scores(joined: np.ndarray, at: np.ndarray, sizes: np.ndarray, params) -> list[float]:
     logs = np.zeros(len(at))
     for some in positions(len(at)):
         logs[some] = predict(params, windows(joined, at[some]), joined[at[some] + REACH])
     until = np.concatenate([[0.0], np.cumsum(logs)])
     ends = np.cumsum(sizes)
-    return list(zip(words.tolist(), (until[ends] - until[ends - sizes]).tolist(), strict=True))
+    return (until[ends] - until[ends - sizes]).tolist()
 
 
-def scored(docs: DataFrame, text: str = "text", output: str = "lm") -> DataFrame:
-    """``docs`` with word count and summed log-probability under a network trained on ``docs``."""
-    corpus = docs.select(F.col(text).alias("text"))
-    entries = vocabulary(corpus)
-    shared = docs.sparkSession.sparkContext.broadcast((entries, train(corpus, entries)))
+def score_texts(texts: list[str], params, index: _Index) -> list[tuple[int, float]]:
+    ids, sizes, words = index.spell(texts)
+    return list(zip(words.tolist(), _scores(*_joined(ids, sizes), sizes, params), strict=True))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+
+def scored(docs: DataFrame, text: str = "text", output: str = "lm", drop: bool = False) -> DataFrame:
+    """``docs`` with word count and summed log-probability under a network trained on ``docs``; ``drop``: without the texts.
+
+    The texts are spelled once; training and scoring read their entries from a table.
+    """
+    entries = vocabulary(docs.select(F.col(text).alias("text")))
+    table = spelled(docs, entries, text, output)
+    table = stage(table.drop(text) if drop else table, "pieces")
+    pieces = F.col(f"{output}.pieces")
+    shared = docs.sparkSession.sparkContext.broadcast((entries, train(table.select(pieces.alias("pieces")), entries)))
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         entries, params = shared.value
-        index = index_of(entries)
-        for texts in batches:
-            rows = [r for block in blocks(whole(texts)) for r in score_texts(block, params, index)]
-            yield pd.DataFrame(rows, columns=["n_tokens", "log_prob"])
+        for batch in batches:
+            yield pd.Series([x for found in _sequences(batch.to_frame("pieces"), entries) for x in _scores(*found, params)], dtype="float64")
 
-    return docs.withColumn(output, F.pandas_udf(run, "struct<n_tokens:long,log_prob:double>")(F.col(text)))
+    log_prob = F.pandas_udf(run, "double")(pieces)
+    return table.withColumn(output, F.struct(F.col(f"{output}.n_tokens").alias("n_tokens"), log_prob.alias("log_prob")))
 
 
 def report(docs: DataFrame) -> DataFrame:
     name = free_name(docs, "lm")
     n, total = F.col(f"{name}.n_tokens"), F.col(f"{name}.log_prob")
-    return scored(docs.select("doc_id", "text"), output=name).select(
+    return scored(docs.select("doc_id", "text"), output=name, drop=True).select(
         "doc_id", n.alias("n_tokens"), total.alias("log_prob"), F.when(n > 0, total / n).otherwise(0.0).alias("score")
     )

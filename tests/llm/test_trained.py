@@ -211,3 +211,18 @@ def test_language_model_scores_do_not_depend_on_neighbouring_texts():
     assert [n for n, _ in together] == [2, 0, 4, 1]
     for text, (_, log_prob) in zip(texts, together, strict=True):
         assert language_model.score_texts([text], params, index)[0][1] == pytest.approx(log_prob, abs=1e-4)
+
+
+def test_language_model_spells_each_text_once(spark):
+    """Training and scoring read entries from a table: the same scores as from texts, other columns kept."""
+    rows = [(i, f"w{i % 5} x y z " * (i % 4) or None) for i in range(30)] + [(99, ""), (99, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, body string").coalesce(1)
+    found = language_model.scored(docs, "body", "lm")
+    assert found.columns == ["doc_id", "body", "lm"]
+    assert found.inputFiles() and all("/pieces-" in f for f in found.inputFiles())
+    got = sorted((r.doc_id, r.body or "", r.lm.n_tokens, r.lm.log_prob) for r in found.collect())
+    entries = language_model.vocabulary(docs.select(docs.body.alias("text")))
+    params = language_model.train(docs.select(docs.body.alias("text")), entries)
+    want = language_model.score_texts([b for _, b, _, _ in got], params, language_model.index_of(entries))
+    assert [n for _, _, n, _ in got] == [n for n, _ in want]
+    assert [p for *_, p in got] == pytest.approx([p for _, p in want], abs=1e-3)
